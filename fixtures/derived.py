@@ -4,6 +4,9 @@ Each supplier is a site, each metric and return flag a KPI. The supplier number
 modulo 20 (called ``k``) decides which special case the site shows; all values
 are whole numbers, so that sums do not depend on their order. ``oracle.py`` holds
 the same definitions in SQL; see FIXTURES.md for the cases.
+
+The library works on stored tables, so the derived rows are written once per
+application and folder to the scratch folder, sorted by date.
 """
 
 from __future__ import annotations
@@ -11,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kpiwarden.sources.scratch import scratch_path
+
 CATEGORY = "ran"
 CUT_OFF = "2001-05-31"
 DAY = "2001-06-15"
@@ -76,7 +81,20 @@ def _per_metric(df: DataFrame) -> DataFrame:
     )
 
 
+_stored: dict[tuple[str, str], str] = {}
+
+
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All derived rows, read from where the first call stored them."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        path = scratch_path(spark, "derived")
+        _derive(spark, sf_dir).sortWithinPartitions("date", "kpi").write.parquet(path)
+        _stored[key] = path
+    return spark.read.parquet(_stored[key])
+
+
+def _derive(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = (
         table(spark, sf_dir, "lineitem")
         .groupBy(

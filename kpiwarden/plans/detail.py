@@ -65,6 +65,13 @@ def _sum_of(days: Column, amount) -> Column:
     return F.aggregate(days, F.lit(0.0), lambda acc, d: acc + amount(d))
 
 
+def _on_requested_dates(source: DataFrame, requests: DataFrame) -> DataFrame:
+    """Source rows between the first and last requested date, found before the scan."""
+    first = requests.select(F.min("date")).scalar()
+    last = requests.select(F.max("date")).scalar()
+    return source.where((F.col("date") >= first) & (F.col("date") <= last))
+
+
 def request_bands(
     source: DataFrame, results: DataFrame, requests: DataFrame, rule: Rule
 ) -> DataFrame:
@@ -151,29 +158,35 @@ def detail(
     Requests lacking a key value match nothing. All requests are judged against
     ``results`` as given; none sees the outcome of another.
     """
+    source = _on_requested_dates(source.select(*_BY, rule.value), requests)
     bands = request_bands(source, results, requests, rule)
-    value = F.col(rule.value)
-    new = F.col("jml") < MIN_ACCEPTED
-    found = (
-        source.select(*_BY, rule.value)
-        .join(bands, _BY)
-        .where(~new | value.isNotNull())
+    # A request without source rows is carried by a stand-in row through the same join.
+    stand_ins = requests.select(*_BY).distinct().withColumn("stand_in", F.lit(True))
+    rows = source.withColumn("stand_in", F.lit(False)).unionByName(
+        stand_ins, allowMissingColumns=True
+    )
+    value, stand_in = F.col(rule.value), F.col("stand_in")
+    new = ~stand_in & (F.col("jml") < MIN_ACCEPTED)
+    wanted = (
+        F.when(stand_in, ~F.col("present") & F.col("has_band"))
+        .when(new, value.isNotNull())
+        .otherwise(True)
+    )
+    status = (
+        F.when(stand_in, NO_DATA)
+        .when(new, OK)
+        .otherwise(rule.status(value, F.col("b_bawah"), F.col("b_atas")))
+    )
+    return (
+        rows.join(bands, _BY)
+        .where(wanted)
         .select(
             *_BY,
             value,
             *[F.when(~new, F.col(b)).alias(b) for b in BOUNDS],
-            F.when(new, OK)
-            .otherwise(rule.status(value, F.col("b_bawah"), F.col("b_atas")))
-            .alias("status"),
+            status.alias("status"),
         )
     )
-    absent = bands.where(~F.col("present") & F.col("has_band")).select(
-        *_BY,
-        F.lit(None).cast(source.schema[rule.value].dataType).alias(rule.value),
-        *BOUNDS,
-        F.lit(NO_DATA).alias("status"),
-    )
-    return found.unionByName(absent)
 
 
 def detail_completeness(
