@@ -166,12 +166,14 @@ def _fold(rows: DataFrame, prior: DataFrame, by: Sequence[str], rule: Rule) -> D
         F.coalesce("history", F.array().cast(_HISTORY)).alias("history"),
         F.array().cast("array<double>").alias("means"),
     )
+    # The outer forms of inline and explode keep Spark from testing the arrays for
+    # emptiness first, which would fold twice. They are never empty.
     means = F.aggregate("days", start_state, step, lambda state: state["means"])
     lower, upper = rule.band(F.col("rata"))
     return (
         days.select(*by, F.arrays_zip("days", means.alias("rata")).alias("zipped"))
-        .select(*by, F.inline("zipped"))
-        .select(*by, "days.date", "rata", F.explode("days.entries").alias("entry"))
+        .select(*by, F.inline_outer("zipped"))
+        .select(*by, "days.date", "rata", F.explode_outer("days.entries").alias("entry"))
         .select(
             "date",
             *by,

@@ -7,6 +7,7 @@ swapped in. Either step can be repeated after a failure.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from datetime import date as Date
 
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 
 from kpiwarden.functions.dates import as_date
 from kpiwarden.functions.rules import KEEP_DAYS, Rule
+from kpiwarden.operators.selection import of_kpis
 from kpiwarden.plans.maintain import replace_date, replace_series, replace_slice, reseed_class
 from kpiwarden.plans.score import alerts
 from kpiwarden.sources.schema import conform
@@ -59,9 +61,7 @@ class DatedTable:
     def reseed(self, fresh: DataFrame, kpis: DataFrame) -> None:
         """Replace all rows of some KPIs, touching only dates that have or get any."""
         table = self.read()
-        days = _dates(table.join(kpis.select("kpi"), "kpi", "left_semi").select("date").union(
-            fresh.select("date")
-        ))
+        days = _dates(of_kpis(table, kpis).select("date").union(fresh.select("date")))
         self._swap(reseed_class(table.where(F.col("date").isin(days)), fresh, kpis), days)
 
     def retain(self, as_of: str, keep_days: int = KEEP_DAYS) -> None:
@@ -75,8 +75,11 @@ class DatedTable:
         """Dates the table has folders for, read from their names."""
         if not self._exists(self.path):
             return []
-        names = [s.getPath().getName() for s in self._fs(self.path).listStatus(self._path(self.path))]
-        return sorted(Date.fromisoformat(n[5:]) for n in names if n.startswith("date=2") or n.startswith("date=1"))
+        folders = self._fs(self.path).listStatus(self._path(self.path))
+        names = [f.getPath().getName() for f in folders]
+        return sorted(
+            Date.fromisoformat(n[5:]) for n in names if re.fullmatch(r"date=\d{4}-\d\d-\d\d", n)
+        )
 
     def _swap(self, content: DataFrame, days: Iterable[Date]) -> None:
         """Make the given dates hold exactly ``content``."""
@@ -115,7 +118,8 @@ class DatedTable:
         return self.spark._jvm.org.apache.hadoop.fs.Path(path)
 
     def _fs(self, path: str):
-        return self._path(path).getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        return self._path(path).getFileSystem(conf)
 
     def _exists(self, path: str) -> bool:
         return self._fs(path).exists(self._path(path))
@@ -150,5 +154,4 @@ def publish_day(
     if kpis is None:
         history.replace_date(stored, day)
     else:
-        stored = stored.join(kpis.select("kpi"), "kpi", "left_semi")
-        history.replace_slice(stored, kpis, day)
+        history.replace_slice(of_kpis(stored, kpis), kpis, day)
