@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from kpiwarden.functions.dates import as_date
 from kpiwarden.sources.schema import KEYS
+from kpiwarden.sources.scratch import scratch_path
 
 
 def daily_totals(rows: DataFrame, value: str, by: Sequence[str] = KEYS) -> DataFrame:
@@ -77,22 +78,30 @@ def recent_totals(
 ) -> DataFrame:
     """Ranked daily totals of a history.
 
-    With ``look_back`` the days since ``before - look_back`` are totalled first,
-    and older dates only for those ``wanted`` series that are still short of
-    ``depth`` rows. The outcome for the wanted series is the same; what changes
-    is that most of the old history is never shuffled.
+    With ``look_back`` the days since ``before - look_back`` are totalled first.
+    Older dates are read only if some ``wanted`` series are still short of
+    ``depth`` rows, and then only for those. The outcome for the wanted series is
+    the same. The list of short series is written to the scratch folder, so that
+    Spark knows its size when it chooses how to join the old history with it.
     """
     if look_back is None:
         return recent_days(daily_totals(history, value, by), depth)
     since = F.date_sub(as_date(before), look_back)
-    near = daily_totals(history.where(F.col("date") >= since), value, by)
-    enough = near.groupBy("series").agg(F.sum("rows").alias("n")).where(F.col("n") >= depth)
+    near_rows = history.where(F.col("date") >= since)
+    near = daily_totals(near_rows, value, by)
+    series = F.struct(*by).alias("series")
+    enough = near_rows.groupBy(series).agg(F.count(F.lit(1)).alias("n"))
     short = (
-        wanted.select(F.struct(*by).alias("series"))
+        wanted.select(series)
         .distinct()
-        .join(enough, "series", "left_anti")
+        .join(enough.where(F.col("n") >= depth), "series", "left_anti")
         .select("series.*")
     )
+    path = scratch_path(history.sparkSession, "short-series")
+    short.write.parquet(path)
+    short = history.sparkSession.read.schema(short.schema).parquet(path)
+    if short.isEmpty():
+        return recent_days(near, depth)
     old = history.where(F.col("date") < since).join(short, list(by), "left_semi")
     return recent_days(near.unionByName(daily_totals(old, value, by)), depth)
 

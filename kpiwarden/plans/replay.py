@@ -13,7 +13,7 @@ from kpiwarden.functions.dates import as_date, on_weekday_of, with_day_name
 from kpiwarden.functions.rules import OK, Rule
 from kpiwarden.operators.bands import series_bands
 from kpiwarden.operators.judge import attach_band, judged
-from kpiwarden.operators.recent import daily_totals, recent_days
+from kpiwarden.operators.recent import daily_totals, recent_days, recent_totals
 from kpiwarden.operators.selection import eligible, kpi_select, of_kpis
 from kpiwarden.plans.score import accepted_before
 from kpiwarden.sources.schema import KEYS
@@ -23,7 +23,7 @@ _STATE = ("date", "rows", "filled", "total")
 _HISTORY = "array<struct<date:date,rows:bigint,filled:bigint,total:double>>"
 
 
-def _inputs(observations, results, kpi_list, sites, category, rule, start, end):
+def _inputs(observations, results, kpi_list, sites, category, rule, start, end, look_back):
     """Rows to score, recent accepted totals before the range, and the series columns."""
     kpis = kpi_select(kpi_list, category, rule)
     within = F.col("date").between(as_date(start), as_date(end))
@@ -34,7 +34,9 @@ def _inputs(observations, results, kpi_list, sites, category, rule, start, end):
         rows, history = with_day_name(rows), with_day_name(history)
         by.append("day_name")
     rows = rows.select("date", *by, rule.value)
-    prior = recent_days(daily_totals(history, rule.value, by), rule.depth)
+    prior = recent_totals(
+        history, rule.value, rule.depth, by, wanted=rows, before=start, look_back=look_back
+    )
     return rows, prior.select("series", *_STATE), by
 
 
@@ -48,6 +50,7 @@ def replay(
     rule: Rule,
     start: str,
     end: str,
+    look_back: int | None = None,
     fold_rows: int = 10_000,
 ) -> DataFrame:
     """Result rows of all days from start to end, both included.
@@ -57,7 +60,9 @@ def replay(
     ``fold_rows`` rows in the range is folded over its days in a single
     expression, all series at once, and only larger ones go day by day.
     """
-    rows, prior, by = _inputs(observations, results, kpi_list, sites, category, rule, start, end)
+    rows, prior, by = _inputs(
+        observations, results, kpi_list, sites, category, rule, start, end, look_back
+    )
     large = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fold_rows)
     if large.isEmpty():
         return judged(_fold(rows, prior, by, rule), rule)
@@ -80,9 +85,12 @@ def replay_by_day(
     rule: Rule,
     start: str,
     end: str,
+    look_back: int | None = None,
 ) -> DataFrame:
     """``replay`` as one pair of jobs per day; no limit on rows per series."""
-    rows, prior, by = _inputs(observations, results, kpi_list, sites, category, rule, start, end)
+    rows, prior, by = _inputs(
+        observations, results, kpi_list, sites, category, rule, start, end, look_back
+    )
     return _day_by_day(rows, prior, by, rule, start, end)
 
 

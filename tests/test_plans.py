@@ -99,6 +99,21 @@ def test_weekday_prunes_partitions(make, stored, conf):
     assert re.search(r"PartitionFilters: \[.*?date_format\(.*?\]", plan(scored))
 
 
+def test_look_back_leaves_old_dates_unread(make, stored, conf):
+    conf({"spark.sql.maxMetadataStringLength": "2000"})
+    observations, results = stored
+
+    def scored(days):
+        return score(
+            observations, results, make.kpi_list(PLAIN), make.sites(),
+            category="ran", rule=PLAIN, day="2024-01-09", look_back=days,
+        )
+
+    assert "< 2024-01-02" not in plan(scored(7))
+    assert "< 2024-01-03" in plan(scored(6))
+    assert scored(7).collect() == scored(6).collect() == scored(None).collect()
+
+
 SKEW = {
     **SHUFFLED,
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",

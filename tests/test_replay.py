@@ -93,3 +93,4 @@ def test_replay_equals_simulation(make, rule):
                 sizes[k] = sizes.get(k, 0) + 1
         some_large = sorted(sizes.values())[1]
         assert collected(replay(*tables, **options, fold_rows=some_large)) == want
+        assert collected(replay(*tables, **options, look_back=20)) == want
