@@ -53,6 +53,7 @@ def main() -> None:
     times: dict[str, float] = {}
     started = time.perf_counter()
     derived.observations(spark, sf_dir)
+    derived.requests(spark, sf_dir)
     times["derive_tables"] = round(time.perf_counter() - started, 3)
     chosen = queries()
     for name in HEADLINE:

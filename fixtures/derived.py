@@ -81,19 +81,23 @@ def _per_metric(df: DataFrame) -> DataFrame:
     )
 
 
-_stored: dict[tuple[str, str], str] = {}
+_stored: dict[tuple[str, str, str], str] = {}
 
 
-def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All derived rows, read from where the first call stored them."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _once(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
+    """What ``make`` derives, read from where the first call of this application stored it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
-        path = scratch_path(spark, "derived")
-        _derive(spark, sf_dir).sortWithinPartitions("date", "kpi").write.parquet(path)
+        path = scratch_path(spark, name)
+        make(spark, sf_dir).write.parquet(path)
         _stored[key] = path
     return spark.read.parquet(_stored[key])
 
 
+def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _once(spark, sf_dir, "derived", _derive)
+
+
 def _derive(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = (
         table(spark, sf_dir, "lineitem")
@@ -151,7 +155,7 @@ def _derive(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         "row_count",
     )
-    return sites.unionByName(national)
+    return sites.unionByName(national).sortWithinPartitions("date", "kpi")
 
 
 _KEY_COLUMNS = ("date", "kpi", "granularity", "node", "vendor", "level", "location")
@@ -230,6 +234,10 @@ def kpi_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every series, asked for on two days."""
+    return _once(spark, sf_dir, "requests", _requests)
+
+
+def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = F.array(F.lit(DAY).cast("date"), F.lit(LATER_DAY).cast("date"))
     series = observations(spark, sf_dir).select(*_KEY_COLUMNS[1:]).distinct()
     return series.select(F.explode(days).alias("date"), *_KEY_COLUMNS[1:])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from kpiwarden.functions.dates import as_date
 from kpiwarden.sources.schema import KEYS
-from kpiwarden.sources.scratch import scratch_path
+from kpiwarden.sources.scratch import stored
 
 
 def daily_totals(rows: DataFrame, value: str, by: Sequence[str] = KEYS) -> DataFrame:
@@ -97,9 +97,7 @@ def recent_totals(
         .join(enough.where(F.col("n") >= depth), "series", "left_anti")
         .select("series.*")
     )
-    path = scratch_path(history.sparkSession, "short-series")
-    short.write.parquet(path)
-    short = history.sparkSession.read.schema(short.schema).parquet(path)
+    short = stored(short, "short-series")
     if short.isEmpty():
         return recent_days(near, depth)
     old = history.where(F.col("date") < since).join(short, list(by), "left_semi")

@@ -17,7 +17,7 @@ from kpiwarden.operators.recent import daily_totals, recent_days, recent_totals
 from kpiwarden.operators.selection import eligible, kpi_select, of_kpis
 from kpiwarden.plans.score import accepted_before
 from kpiwarden.sources.schema import KEYS
-from kpiwarden.sources.scratch import scratch_path
+from kpiwarden.sources.scratch import scratch_path, stored
 
 _STATE = ("date", "rows", "filled", "total")
 _HISTORY = "array<struct<date:date,rows:bigint,filled:bigint,total:double>>"
@@ -63,7 +63,8 @@ def replay(
     rows, prior, by = _inputs(
         observations, results, kpi_list, sites, category, rule, start, end, look_back
     )
-    large = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > fold_rows)
+    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    large = stored(sizes.where(F.col("n") > fold_rows).select(*by), "large-series")
     if large.isEmpty():
         return judged(_fold(rows, prior, by, rule), rule)
     same = None
@@ -204,10 +205,10 @@ def _day_by_day(
     spark = rows.sparkSession
     scored_path = scratch_path(spark, "replay-scored")
     state_path = scratch_path(spark, "replay-state")
-    prior.write.parquet(f"{state_path}/step=0")
     state_schema = prior.schema
     day, step = Date.fromisoformat(start), 0
     paths = [f"{state_path}/step=0"]
+    prior.write.parquet(paths[0])
     scored_paths = []
     while day <= Date.fromisoformat(end):
         step += 1

@@ -9,8 +9,9 @@ import __spark_entry__ as entry_module
 from kpiwarden.functions.rules import PLAIN
 from kpiwarden.operators.bands import series_bands
 from kpiwarden.operators.judge import attach_band
-from kpiwarden.operators.recent import daily_totals, recent_days
+from kpiwarden.operators.recent import daily_totals, recent_days, recent_rows
 from kpiwarden.operators.selection import not_in_bad_sites
+from kpiwarden.plans.detail import detail
 from kpiwarden.plans.score import score
 from kpiwarden.sources import schema
 from kpiwarden.sources.store import DatedTable
@@ -150,3 +151,19 @@ def test_hot_location_is_split_in_the_site_join(spark, make, conf):
     kept = not_in_bad_sites(hot_rows(spark, make), sites)
     kept.collect()
     assert "skew=true" in plan(kept)
+
+
+def test_hot_date_is_split_when_ranked_rows_are_joined_back(spark, make, conf):
+    conf(SKEW)
+    rows = recent_rows(hot_rows(spark, make), "value", 10)
+    assert len(rows.collect()) > 50_000
+    assert "skew=true" in plan(rows)
+
+
+def test_hot_request_is_split_in_detail(spark, make, conf):
+    conf(SKEW)
+    history = make.results([(f"2023-12-{d:02d}", make.key("ALL"), 100.0, "ok") for d in range(1, 9)])
+    asked = make.requests([("2024-01-02", make.key("ALL")), ("2024-01-02", make.key("GONE"))])
+    checked = detail(hot_rows(spark, make), history, asked)
+    assert len(checked.collect()) > 50_000
+    assert "skew=true" in plan(checked)
