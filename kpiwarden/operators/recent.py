@@ -10,8 +10,9 @@ of later rows is taken over at most one total per calendar day.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date as Date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiwarden.functions.dates import as_date
@@ -47,6 +48,15 @@ def recent_days(totals: DataFrame, depth: int) -> DataFrame:
     return totals.withColumn("rank", rank).where(F.col("rank") <= depth)
 
 
+def same_series(left: DataFrame, right: DataFrame, by: Sequence[str], prefix: str = "") -> Column:
+    """Join condition on the key columns; only the vendor may be null, and then equals null."""
+    on = F.lit(True)
+    for k in by:
+        mine, theirs = left[k], right[prefix + k]
+        on = on & (mine.eqNullSafe(theirs) if k == "vendor" else mine == theirs)
+    return on
+
+
 def recent_rows(
     rows: DataFrame, value: str, depth: int, by: Sequence[str] = KEYS
 ) -> DataFrame:
@@ -59,49 +69,62 @@ def recent_rows(
     days = days.select(
         *[F.col(f"series.{k}").alias(f"_{k}") for k in by], F.col("date").alias("_date"), "rank"
     )
-    on = rows["date"] == days["_date"]
-    for k in by:
-        mine, theirs = rows[k], days[f"_{k}"]
-        on = on & (mine.eqNullSafe(theirs) if k == "vendor" else mine == theirs)
+    on = (rows["date"] == days["_date"]) & same_series(rows, days, by, "_")
     return rows.join(days, on).select(*[rows[c] for c in rows.columns], "rank")
 
 
-def recent_totals(
-    history: DataFrame,
-    value: str,
+def enough_rows(
+    rows: DataFrame,
     depth: int,
-    by: Sequence[str] = KEYS,
+    by: Sequence[str],
     *,
-    wanted: DataFrame | None = None,
-    before: str | None = None,
-    look_back: int | None = None,
+    wanted: DataFrame,
+    before: str | Date,
+    look_back: int,
 ) -> DataFrame:
-    """Ranked daily totals of a history.
+    """Rows dated before ``before``, less old ones that cannot be among the most recent.
 
-    With ``look_back`` the days since ``before - look_back`` are totalled first.
-    Older dates are read only if some ``wanted`` series are still short of
-    ``depth`` rows, and then only for those. The outcome for the wanted series is
-    the same. The list of short series is written to the scratch folder, so that
-    Spark knows its size when it chooses how to join the old history with it.
+    Rows of the last ``look_back`` days stay. Older dates are read only if some
+    ``wanted`` series have fewer than ``depth`` rows in those days, and then only
+    for these series. Their list is written to the scratch folder, so that Spark
+    knows its size when it chooses how to join the old rows with it.
     """
-    if look_back is None:
-        return recent_days(daily_totals(history, value, by), depth)
     since = F.date_sub(as_date(before), look_back)
-    near_rows = history.where(F.col("date") >= since)
-    near = daily_totals(near_rows, value, by)
+    near = rows.where((F.col("date") >= since) & (F.col("date") < as_date(before)))
     series = F.struct(*by).alias("series")
-    enough = near_rows.groupBy(series).agg(F.count(F.lit(1)).alias("n"))
+    counts = near.groupBy(series).agg(F.count(F.lit(1)).alias("n"))
     short = (
         wanted.select(series)
         .distinct()
-        .join(enough.where(F.col("n") >= depth), "series", "left_anti")
+        .join(counts.where(F.col("n") >= depth), "series", "left_anti")
         .select("series.*")
     )
     short = stored(short, "short-series")
     if short.isEmpty():
-        return recent_days(near, depth)
-    old = history.where(F.col("date") < since).join(short, list(by), "left_semi")
-    return recent_days(near.unionByName(daily_totals(old, value, by)), depth)
+        return near
+    old = rows.where(F.col("date") < since)
+    return near.unionByName(old.join(short, same_series(old, short, by), "left_semi"))
+
+
+def recent_totals(
+    history: DataFrame,
+    value: str,
+    depth: int,
+    by: Sequence[str] = KEYS,
+    *,
+    wanted: DataFrame | None = None,
+    before: str | Date | None = None,
+    look_back: int | None = None,
+) -> DataFrame:
+    """Ranked daily totals of a history; ``look_back`` as in ``enough_rows``.
+
+    With ``look_back`` only the ``wanted`` series are sure to be complete.
+    """
+    if look_back is not None:
+        history = enough_rows(
+            history, depth, by, wanted=wanted, before=before, look_back=look_back
+        )
+    return recent_days(daily_totals(history, value, by), depth)
 
 
 def accepted_counts(results: DataFrame, by: Sequence[str] = KEYS) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpiwarden.functions.dates import as_date
-from kpiwarden.functions.rules import KEEP_DAYS, Rule
+from kpiwarden.functions.rules import CATEGORIES, KEEP_DAYS, Rule
 from kpiwarden.operators.selection import of_kpis
 from kpiwarden.plans.maintain import replace_date, replace_series, replace_slice, reseed_class
 from kpiwarden.plans.score import alerts
@@ -133,6 +133,19 @@ def _dates(df: DataFrame) -> list[Date]:
     return [r["date"] for r in df.select("date").distinct().where("date is not null").collect()]
 
 
+def retain_histories(
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType,
+    as_of: str,
+    categories: Iterable[str] = CATEGORIES,
+    keep_days: int = KEEP_DAYS,
+) -> None:
+    """Retention for the history of every category, stored as ``root/h_category``."""
+    for category in categories:
+        DatedTable(spark, f"{root}/h_{category}", schema).retain(as_of, keep_days)
+
+
 def publish_day(
     results: DatedTable,
     history: DatedTable,

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kpiwarden.functions.dates import replay_dates, with_day_name
-from kpiwarden.functions.rules import COMPLETENESS, PLAIN, SIGMA
+from kpiwarden.functions.rules import COMPLETENESS, PLAIN, SIGMA, TREND
 from kpiwarden.operators.bands import series_bands
 from kpiwarden.operators.recent import daily_totals, recent_days, recent_rows, recent_totals
 from kpiwarden.operators.selection import (
@@ -16,6 +16,7 @@ from kpiwarden.operators.selection import (
     with_complete_keys,
 )
 from kpiwarden.plans.score import score, score_all, score_completeness
+from kpiwarden.plans.seed import seed
 from kpiwarden.sources.schema import OBSERVATIONS, conform
 
 START = date(2024, 1, 1)
@@ -105,6 +106,20 @@ def test_look_back_changes_nothing(make, look_back):
     )
 
 
+@pytest.mark.parametrize("look_back", [3, 15, 100])
+@pytest.mark.parametrize("rule", [PLAIN, TREND], ids=["plain", "trend"])
+def test_look_back_seeds_the_same_rows(make, look_back, rule):
+    source = make.observations(random_history(make, 5, series=4, days=100))
+    options = dict(category="ran", rule=rule, up_to=day(95))
+
+    def seeded(**more):
+        rows = seed(source, make.kpi_list(rule), make.sites(), **options, **more)
+        return sorted(map(repr, rows.collect()))
+
+    assert seeded(look_back=look_back) == seeded()
+    assert any("vendor=None" in row for row in seeded())
+
+
 def test_not_in_keeps_null_locations_only_without_bad_sites(make):
     rows = make.row_counts(
         [(day(0), make.key(loc), 1) for loc in (None, "S00001", "S0000001")]

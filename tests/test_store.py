@@ -6,7 +6,7 @@ from kpiwarden.functions.rules import COMPLETENESS, PLAIN
 from kpiwarden.plans.score import score, score_completeness
 from kpiwarden.plans.seed import seed
 from kpiwarden.sources import schema
-from kpiwarden.sources.store import DatedTable, publish_day
+from kpiwarden.sources.store import DatedTable, publish_day, retain_histories
 
 
 @pytest.fixture
@@ -115,6 +115,18 @@ def test_retention_drops_the_day_exactly_31_days_back(make, tables):
     assert [str(d) for d in history.dates()] == ["2024-01-02"]
 
 
+def test_retention_of_all_categories(spark, make, tmp_path):
+    for category in ("core", "vas"):
+        table = DatedTable(spark, f"{tmp_path}/h_{category}", schema.ANOMALY_RESULTS)
+        table.append(
+            make.results([(d, make.key("S00001"), 1.0, "anomaly") for d in ("2024-01-01", "2024-01-02")])
+        )
+    retain_histories(spark, str(tmp_path), schema.ANOMALY_RESULTS, "2024-02-01")
+    for category in ("core", "vas"):
+        table = DatedTable(spark, f"{tmp_path}/h_{category}", schema.ANOMALY_RESULTS)
+        assert [str(d) for d in table.dates()] == ["2024-01-02"]
+
+
 def test_completeness_history_takes_not_ok_only(spark, make, tmp_path):
     results, history = (
         DatedTable(spark, str(tmp_path / n), schema.COMPLETENESS_RESULTS) for n in ("r", "h")
