@@ -10,7 +10,12 @@ from kpiwarden.functions.rules import PLAIN
 from kpiwarden.operators.bands import series_bands
 from kpiwarden.operators.judge import attach_band
 from kpiwarden.operators.recent import daily_totals, recent_days, recent_rows
-from kpiwarden.operators.selection import not_in_bad_sites
+from kpiwarden.operators.selection import (
+    kpi_classes,
+    kpi_select,
+    not_in_bad_sites,
+    of_kpis,
+)
 from kpiwarden.plans.detail import detail
 from kpiwarden.plans.score import score
 from kpiwarden.sources import schema
@@ -167,3 +172,19 @@ def test_hot_request_is_split_in_detail(spark, make, conf):
     checked = detail(hot_rows(spark, make), history, asked)
     assert len(checked.collect()) > 50_000
     assert "skew=true" in plan(checked)
+
+
+@pytest.mark.parametrize("select", ["of_kpis", "kpi_classes"])
+def test_hot_kpi_is_split(spark, make, conf, select):
+    conf(SKEW)
+    other = F.concat(F.lit("k"), (F.col("value") % 40).cast("int").cast("string"))
+    rows = hot_rows(spark, make).withColumn(
+        "kpi", F.when(F.col("location") == "ALL", "k").otherwise(other)
+    )
+    kpi_list = make.kpi_list(PLAIN, ["k", *[f"k{i}" for i in range(20)]])
+    if select == "of_kpis":
+        kept = of_kpis(rows, kpi_select(kpi_list, "ran", PLAIN))
+    else:
+        kept = rows.join(kpi_classes(kpi_list, "ran"), "kpi")
+    kept.collect()
+    assert "skew=true" in plan(kept)
