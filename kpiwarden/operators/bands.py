@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiwarden.functions.rules import Rule
+from kpiwarden.operators.recent import SERIES
 
 
 def bounds(
@@ -26,14 +27,14 @@ def bounds(
 
 
 def series_bands(days: DataFrame, rule: Rule) -> DataFrame:
-    """Band per series from its recent daily totals; key columns and bounds.
+    """Band per series from its ``recent_days``; key columns and bounds.
 
     Squared deviations are summed around the mean of the latest day, so that
     large values with a small spread keep their digits.
     """
     mean_of_day = F.try_divide("total", "filled")
     latest_first = (
-        Window.partitionBy("series")
+        Window.partitionBy(*SERIES)
         .orderBy(F.desc("date"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -41,7 +42,7 @@ def series_bands(days: DataFrame, rule: Rule) -> DataFrame:
     off = F.col("off")
     per_series = (
         days.withColumn("off", mean_of_day - pivot)
-        .groupBy("series")
+        .groupBy(*SERIES)
         .agg(
             F.sum("filled").alias("filled"),
             F.try_divide(F.sum("total"), F.sum("filled")).alias("rata"),

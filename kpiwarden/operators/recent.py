@@ -20,6 +20,15 @@ from kpiwarden.sources.schema import KEYS
 from kpiwarden.sources.scratch import stored
 
 
+# Windows and groupings over series lead with a hash: sorting then compares one number,
+# not six strings, unless two rows are of the same series.
+SERIES = ("series_hash", "series")
+
+
+def with_series_hash(df: DataFrame) -> DataFrame:
+    return df.withColumn("series_hash", F.xxhash64("series"))
+
+
 def daily_totals(rows: DataFrame, value: str, by: Sequence[str] = KEYS) -> DataFrame:
     """One row per series and date with what bands are computed from.
 
@@ -40,12 +49,12 @@ def daily_totals(rows: DataFrame, value: str, by: Sequence[str] = KEYS) -> DataF
 def recent_days(totals: DataFrame, depth: int) -> DataFrame:
     """Daily totals whose rows rank among the ``depth`` most recent, with ``rank``."""
     later = (
-        Window.partitionBy("series")
+        Window.partitionBy(*SERIES)
         .orderBy(F.desc("date"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     rank = F.coalesce(F.sum("rows").over(later), F.lit(0)) + 1
-    return totals.withColumn("rank", rank).where(F.col("rank") <= depth)
+    return with_series_hash(totals).withColumn("rank", rank).where(F.col("rank") <= depth)
 
 
 def same_series(left: DataFrame, right: DataFrame, by: Sequence[str], prefix: str = "") -> Column:

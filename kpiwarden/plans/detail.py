@@ -14,6 +14,7 @@ from kpiwarden.functions.rules import (
     Rule,
 )
 from kpiwarden.operators.bands import bounds
+from kpiwarden.operators.recent import SERIES, with_series_hash
 from kpiwarden.sources.schema import BOUNDS, KEYS
 
 _BY = ["date", *KEYS]
@@ -82,10 +83,11 @@ def request_bands(
     has a row. The requested day sees the totals of its previous ``depth`` days
     with accepted rows, found by the position of each day within its series.
     """
-    by_date = Window.partitionBy("series").orderBy("date")
+    by_date = Window.partitionBy(*SERIES).orderBy("date")
     earlier = by_date.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("series")
-    positions = _request_days(source, results, requests, rule).withColumns(
+    whole = Window.partitionBy(*SERIES)
+    days = with_series_hash(_request_days(source, results, requests, rule))
+    positions = days.withColumns(
         {
             "position": F.coalesce(F.count(F.when(F.col("rows") > 0, 1)).over(earlier), F.lit(0)),
             "rows_before": F.coalesce(F.sum("rows").over(earlier), F.lit(0)),
@@ -94,7 +96,7 @@ def request_bands(
     )
     day = F.struct("rows_before", "rows", "filled", "total", "low", "high", "spread")
     previous = (
-        Window.partitionBy("series").orderBy("position").rangeBetween(-rule.depth, -1)
+        Window.partitionBy(*SERIES).orderBy("position").rangeBetween(-rule.depth, -1)
     )
     found = positions.withColumn(
         "days", F.collect_list(F.when(F.col("rows") > 0, day)).over(previous)

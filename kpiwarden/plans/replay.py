@@ -13,7 +13,7 @@ from kpiwarden.functions.dates import as_date, on_weekday_of, with_day_name
 from kpiwarden.functions.rules import OK, Rule
 from kpiwarden.operators.bands import series_bands
 from kpiwarden.operators.judge import attach_band, judged
-from kpiwarden.operators.recent import daily_totals, recent_days, recent_totals
+from kpiwarden.operators.recent import SERIES, daily_totals, recent_days, recent_totals
 from kpiwarden.operators.selection import eligible, kpi_select, of_kpis
 from kpiwarden.plans.score import accepted_before
 from kpiwarden.sources.schema import KEYS
@@ -37,7 +37,7 @@ def _inputs(observations, results, kpi_list, sites, category, rule, start, end,
     prior = recent_totals(
         history, rule.value, rule.depth, by, wanted=rows, before=start, look_back=look_back
     )
-    return rows, prior.select("series", *_STATE), by
+    return rows, prior.select(*SERIES, *_STATE), by
 
 
 def replay(
@@ -125,7 +125,7 @@ def _fold(rows: DataFrame, prior: DataFrame, by: Sequence[str], rule: Rule) -> D
     found for every day so far.
     """
     histories = (
-        prior.groupBy("series")
+        prior.groupBy(*SERIES)
         .agg(F.sort_array(F.collect_list(F.struct(*_STATE))).alias("history"))
         .select("series.*", "history")
     )
@@ -205,6 +205,7 @@ def _day_by_day(
     spark = rows.sparkSession
     scored_path = scratch_path(spark, "replay-scored")
     state_path = scratch_path(spark, "replay-state")
+    prior = prior.drop("series_hash")
     state_schema = prior.schema
     day, step = Date.fromisoformat(start), 0
     paths = [f"{state_path}/step=0"]
@@ -227,7 +228,8 @@ def _day_by_day(
         accepted.select("series", *_STATE).write.parquet(paths[-1])
         day += timedelta(days=1)
     if not scored_paths:
-        return judged(attach_band(rows, series_bands(_with_sigma_columns(prior), rule), by), rule)
+        bands = series_bands(recent_days(_with_sigma_columns(prior), rule.depth), rule)
+        return judged(attach_band(rows, bands, by), rule)
     return spark.read.schema(scored.schema).parquet(*scored_paths).drop(*by[len(KEYS):])
 
 
