@@ -4,9 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+from kpiwarden.llm import line_dedup
 from kpiwarden.llm.jaccard_join import similar_documents
+from kpiwarden.llm.language_id import predicted_languages
+from kpiwarden.llm.packing import packed_documents
+from kpiwarden.llm.quality import quality_scores
+from kpiwarden.llm.substring_dedup import removal_report
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,9 +24,40 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(_table(spark, sf_dir, "documents"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packed_documents(_table(spark, sf_dir, "documents"), path)
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removal_report(_table(spark, sf_dir, "documents"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.site_line_report(_table(spark, sf_dir, "pages"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predicted_languages(_table(spark, sf_dir, "documents"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+_QUERIES = (
+    op1_jaccard_join,
+    op2_best_fit_packing,
+    op3_substring_dedup,
+    op4_line_dedup,
+    op6_language_id,
+    op8_quality,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join,)}
+    return {f.__name__: f for f in _QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_line_dedup": line_dedup.ORACLE_SQL}
