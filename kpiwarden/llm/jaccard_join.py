@@ -73,12 +73,12 @@ def set_hash(features: np.ndarray) -> int:
 
 
 def parities(features: np.ndarray) -> np.ndarray:
-    """About a bit per feature: the parity of how many features fall on it.
+    """Eight to sixteen bits per feature: the parity of how many features fall on each.
 
-    Two sets of similar size use the same number of words, the power of two that the
-    size reaches; wider vectors fold onto narrower ones by exclusive or.
+    The number of words is a power of two; wider vectors fold onto narrower ones by
+    exclusive or.
     """
-    wide = 1 << max(0, int(len(features) - 1).bit_length() - 6)
+    wide = 1 << max(0, int(len(features) - 1).bit_length() - 3)
     at = (features % np.uint64(64 * wide)).astype(np.int64)
     odd = np.bincount(at, minlength=64 * wide) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
@@ -149,7 +149,7 @@ class Bands:
 
 
 def _nodes(size: int):
-    """Each document with its number of shingles, the hash of its set, and parities."""
+    """Each document with its number of shingles and the hash of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches, "text"):
@@ -159,9 +159,8 @@ def _nodes(size: int):
                     part.column("doc_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64()),
-                    pa.array([parities(s).tobytes() if len(s) else None for s in sets], pa.binary()),
                 ],
-                ["doc_id", "n", "node", "bits"],
+                ["doc_id", "n", "node"],
             )
 
     return run
@@ -184,13 +183,17 @@ def _signatures(size: int, bands: Bands):
 
 
 def _own(size: int):
-    """Rows whose text has the node's set; where ids repeat, others may have been joined."""
+    """Rows whose text has the node's set, with size and parities; where ids repeat, others may have been joined."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches, "text"):
             node = part.column("node").to_pylist()
-            same = [len(s) > 0 and set_hash(s) == x for s, x in zip(shingle_sets(texts, size), node)]
-            yield part.select(["node", "text"]).filter(pa.array(same, pa.bool_()))
+            sets = shingle_sets(texts, size)
+            own = [len(s) > 0 and set_hash(s) == x for s, x in zip(sets, node)]
+            rows = part.select(["node", "text"]).filter(pa.array(own, pa.bool_()))
+            mine = [s for s, x in zip(sets, own) if x]
+            rows = rows.append_column("n", pa.array([len(s) for s in mine], pa.int64()))
+            yield rows.append_column("bits", pa.array([parities(s).tobytes() for s in mine], pa.binary()))
 
     return run
 
@@ -307,10 +310,10 @@ def similar_documents(
     bands = Bands(similarity)
     source = columns(docs, doc_id=id_col, text=text_col)
     rows = stored(
-        source.mapInArrow(_nodes(shingle), "doc_id long, n long, node long, bits binary"), "sets"
+        source.mapInArrow(_nodes(shingle), "doc_id long, n long, node long"), "sets"
     )
     nodes = rows.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bits").alias("bits")
+        F.min("doc_id").alias("least")
     )
     nodes = stored(nodes, "nodes")
     edges = _links(source, nodes, shingle, similarity, bands)
@@ -340,16 +343,16 @@ def _links(source: DataFrame, nodes: DataFrame, shingle: int, similarity: Fracti
     hubs = stored(hubs, "hubs")
     texts = _texts(source, nodes, shared, shingle)
     edges = stored(_verified(hubs, texts, shingle, similarity), "edges")
-    crossing = stored(_crossing(shared, nodes, edges, similarity).join(hubs, ["a", "b"], "left_anti"), "crossing")
+    crossing = stored(_crossing(shared, texts, edges, similarity).join(hubs, ["a", "b"], "left_anti"), "crossing")
     return edges.unionByName(_verified(crossing, texts, shingle, similarity))
 
 
 def _texts(source: DataFrame, nodes: DataFrame, shared: DataFrame, shingle: int) -> DataFrame:
-    """One text of each node that shares a signature."""
+    """One text of each node that shares a signature, with the size of its set and its parities."""
     wanted = shared.select("node").distinct()
     some = nodes.join(wanted, "node").select("node", F.col("least").alias("id"))
     texts = source.join(some, source["doc_id"].eqNullSafe(some["id"])).select("id", "node", "text").distinct()
-    return stored(texts.mapInArrow(_own(shingle), "node long, text string"), "texts")
+    return stored(texts.mapInArrow(_own(shingle), "node long, text string, n long, bits binary"), "texts")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: Fraction) -> DataFrame:
@@ -359,8 +362,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: Frac
     return both.mapInArrow(_verify(shingle, similarity), "a long, b long")
 
 
-def _crossing(shared: DataFrame, nodes: DataFrame, edges: DataFrame, similarity: Fraction) -> DataFrame:
-    """Pairs of a signature that lie in different components and may be similar."""
+def _crossing(shared: DataFrame, texts: DataFrame, edges: DataFrame, similarity: Fraction) -> DataFrame:
+    """Pairs of a signature that lie in different components and may be similar.
+
+    Pairs with the signature's hub have been verified.
+    """
+    shared = shared.where("node != hub").drop("hub")
     roots = components(edges).select(F.col("node").alias("member"), "root")
     rows = shared.join(roots, shared["node"] == roots["member"], "left")
     rows = rows.select("sig", "node", F.coalesce("root", "node").alias("root"))
@@ -368,7 +375,7 @@ def _crossing(shared: DataFrame, nodes: DataFrame, edges: DataFrame, similarity:
     rows = rows.withColumns(
         {"low": F.min("root").over(same), "high": F.max("root").over(same), "size": F.count("*").over(same)}
     ).where("low != high")
-    about = nodes.select(F.col("node").alias("id"), "n", "bits")
+    about = texts.select(F.col("node").alias("id"), "n", "bits")
     rows = rows.join(about, rows["node"] == about["id"])
     block = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)).cast("int")
     every = F.sequence(F.lit(0), (F.ceil(F.col("size") / BLOCK) - 1).cast("int"))
@@ -385,4 +392,5 @@ def _crossing(shared: DataFrame, nodes: DataFrame, edges: DataFrame, similarity:
         "bits",
     )
     rows = rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
-    return rows.mapInArrow(_cross(similarity), "a long, b long").distinct()
+    rows = rows.mapInArrow(_cross(similarity), "a long, b long")
+    return rows.distinct()
