@@ -46,6 +46,7 @@ from kpiwarden.sources.scratch import stored
 GROWTH = 4  # ratio of the sizes at either end of a band
 SPREAD = 0.31  # partitions per feature of the largest set of a band
 BLOCK = 1024  # nodes of a signature that are compared in one go
+AT_ONCE = 200_000  # candidate pairs that are made distinct before they leave a task
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -251,13 +252,20 @@ def _cross(similarity: Fraction):
             out_b.append(node[j])
         return (np.concatenate(x) if x else np.empty(0, np.int64) for x in (out_a, out_b))
 
+    def once(found: list[np.ndarray]) -> pa.RecordBatch:
+        a, b = np.unique(np.concatenate(found), axis=0).T
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[np.ndarray] = []
         for rows in _runs(batches, ["sig", "i", "j"], ["node", "root", "n", "left", "right", "bits"]):
             a, b = pairs(rows)
-            if len(a):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
-                )
+            found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
+            if sum(map(len, found)) >= AT_ONCE:
+                yield once(found)
+                found = []
+        if found:
+            yield once(found)
 
     return run
 
@@ -373,8 +381,15 @@ def _crossing(shared: DataFrame, texts: DataFrame, edges: DataFrame, similarity:
     rows = rows.select("sig", "node", F.coalesce("root", "node").alias("root"))
     same = Window.partitionBy("sig")
     rows = rows.withColumns(
-        {"low": F.min("root").over(same), "high": F.max("root").over(same), "size": F.count("*").over(same)}
+        {
+            "low": F.min("root").over(same),
+            "high": F.max("root").over(same),
+            "size": F.count("*").over(same),
+            "held": F.bit_xor(F.xxhash64("node")).over(same),
+        }
     ).where("low != high")
+    # signatures of the same nodes are one; should two others fall together, only more pairs are looked at
+    rows = rows.select(F.col("held").alias("sig"), "size", "node", "root").distinct()
     about = texts.select(F.col("node").alias("id"), "n", "bits")
     rows = rows.join(about, rows["node"] == about["id"])
     block = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)).cast("int")
