@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiwarden.llm.components import components
-from kpiwarden.llm.words import columns, mix, prepare, slices, whole, windows, words
+from kpiwarden.llm.words import columns, mix, prepare, runs, slices, whole, windows, words
 from kpiwarden.sources.scratch import stored
 
 GROWTH = 4  # ratio of the sizes at either end of a band
@@ -258,7 +258,7 @@ def _cross(similarity: Fraction):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[np.ndarray] = []
-        for rows in _runs(batches, ["sig", "i", "j"], ["node", "root", "n", "left", "right", "bits"]):
+        for rows in runs(batches, ["sig", "i", "j"], ["node", "root", "n", "left", "right", "bits"]):
             a, b = pairs(rows)
             found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
             if sum(map(len, found)) >= AT_ONCE:
@@ -270,33 +270,6 @@ def _cross(similarity: Fraction):
     return run
 
 
-def _runs(batches: Iterator[pa.RecordBatch], key: list[str], values: list[str]) -> Iterator[list]:
-    """Values of each run of equal keys in sorted batches; a run may go over several batches."""
-    held: list[pa.RecordBatch] = []
-    at = None
-
-    def close() -> list:
-        t = pa.Table.from_batches(held)
-        return [
-            t.column(v).to_pylist() if pa.types.is_binary(t.schema.field(v).type) else t.column(v).to_numpy()
-            for v in values
-        ]
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = np.stack([batch.column(k).to_numpy() for k in key], 1)
-        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
-        for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
-            if at is not None and tuple(keys[lo]) != at:
-                yield close()
-                held = []
-            at = tuple(keys[lo])
-            held.append(batch.slice(lo, hi - lo))
-    if held:
-        yield close()
-
-
 def similar_documents(
     docs: DataFrame,
     id_col: str = "doc_id",

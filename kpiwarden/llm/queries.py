@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from kpiwarden.llm import line_dedup
+from kpiwarden.llm import licenses, line_dedup
+from kpiwarden.llm.byte_bpe import round_trip_report
+from kpiwarden.llm.embedding_dedup import near_vectors
+from kpiwarden.llm.fingerprints import fingerprint_report
 from kpiwarden.llm.jaccard_join import similar_documents
 from kpiwarden.llm.language_id import predicted_languages
 from kpiwarden.llm.packing import packed_documents
@@ -37,21 +40,42 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.site_line_report(_table(spark, sf_dir, "pages"))
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return round_trip_report(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted_languages(_table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_report(_table(spark, sf_dir, "documents"))
+
+
 _QUERIES = (
     op1_jaccard_join,
     op2_best_fit_packing,
     op3_substring_dedup,
     op4_line_dedup,
+    op5_byte_bpe,
     op6_language_id,
+    op7_license_scan,
     op8_quality,
+    op9_embedding_dedup,
+    op10_fingerprints,
 )
 
 
@@ -60,4 +84,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": line_dedup.ORACLE_SQL}
+    return {"op4_line_dedup": line_dedup.ORACLE_SQL, "op7_license_scan": licenses.oracle_sql()}

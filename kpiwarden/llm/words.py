@@ -140,6 +140,33 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.
                 lo, size = i + 1, 0
 
 
+def runs(batches: Iterator[pa.RecordBatch], key: list[str], values: list[str]) -> Iterator[list]:
+    """Values of each run of equal keys in sorted batches; a run may go over several batches."""
+    held: list[pa.RecordBatch] = []
+    at = None
+
+    def close() -> list:
+        t = pa.Table.from_batches(held)
+        return [
+            t.column(v).to_pylist() if pa.types.is_binary(t.schema.field(v).type) else t.column(v).to_numpy()
+            for v in values
+        ]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(k).to_numpy() for k in key], 1)
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
+            if at is not None and tuple(keys[lo]) != at:
+                yield close()
+                held = []
+            at = tuple(keys[lo])
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield close()
+
+
 def prepare(spark: SparkSession) -> None:
     """Make the session ready for functions of this library that run in Python workers.
 
