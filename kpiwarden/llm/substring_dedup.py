@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiwarden.llm.words import columns, mix, prepare, slices, windows, words
@@ -79,10 +79,15 @@ class _Runs:
 
 
 def _counted(size: int, m: int):
+    """Super-k-mers of each minimiser, and of all under a null key."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in slices(batches, "text"):
             key, n = np.unique(_Runs(texts, size, m).key, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*key.tolist(), None], pa.int64()), pa.array([*n.tolist(), int(n.sum())], pa.int64())],
+                ["key", "n"],
+            )
 
     return run
 
@@ -222,14 +227,13 @@ def repeated_ranges(source: DataFrame, size: int = WINDOW, m: int = MINIMISER) -
     """``doc_id, tag, lo, hi``: word ranges to remove, of ``doc_id, tag, text``; they may overlap."""
     spark = source.sparkSession
     known = source.where("doc_id is not null")
-    seen = Observation()
     counts = known.select("text").mapInArrow(_counted(size, m), "key long, n long")
-    counts = counts.observe(seen, F.sum("n").alias("all"))
     counts = counts.groupBy("key").agg(F.sum("n").alias("n"))
-    large = stored(counts.where(F.col("n") > LEAST_HOT), "large")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    limit = max(LEAST_HOT, (seen.get["all"] or 0) // (SHARE * parts))
-    hot = np.asarray([r["key"] for r in large.where(F.col("n") > limit).select("key").collect()], np.int64)
+    large = stored(counts.where((F.col("n") > LEAST_HOT) | F.col("key").isNull()), "large")
+    total = (large.where("key is null").first() or {"n": 0})["n"]
+    limit = max(LEAST_HOT, total // (SHARE * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    hot = large.where(F.col("key").isNotNull() & (F.col("n") > limit)).select("key").collect()
+    hot = np.asarray([r["key"] for r in hot], np.int64)
     packed = known.mapInArrow(
         _packed(size, m, hot), "key long, doc_id long, tag long, start int, packed binary"
     )

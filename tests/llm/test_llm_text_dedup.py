@@ -1,0 +1,173 @@
+"""Operators 1, 3 and 4 against plain Python, with the odd cases each has to bear."""
+
+import hashlib
+import random
+
+import duckdb
+import numpy as np
+import plain
+import pytest
+from kpiwarden.llm import line_dedup, substring_dedup
+from kpiwarden.llm.components import components
+from kpiwarden.llm.jaccard_join import Bands, similar_documents
+from fractions import Fraction
+
+SF = "/root/testdata/sf0.001"
+
+
+def prose(rng, n, of=400):
+    return " ".join(f"w{rng.randrange(of)}" for _ in range(n))
+
+
+def edited(rng, text, changes):
+    w = text.split(" ")
+    for _ in range(changes):
+        w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+    return " ".join(w)
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(5)
+    texts = [None, "", "  \n\t ", "one", "one", "ONE two", "one TWO", "a b c d e", "A b c d e"]
+    for n in (6, 9, 14, 30, 70, 260, 1100):
+        base = prose(rng, n)
+        texts += [base, base, base.upper()]
+        texts += [edited(rng, base, k) for k in (1, 1, 2, 3, n // 40 + 1, n // 25 + 1, n // 12 + 1)]
+    passage = prose(rng, 60)
+    texts += [f"{prose(rng, rng.randrange(5, 60))} {passage} {prose(rng, 20)}" for _ in range(40)]
+    texts += [prose(rng, 4000), "und " * 3000, "und " * 3000 + "x"]
+    rng.shuffle(texts)
+    return {i * 3 + 1: t for i, t in enumerate(texts)}
+
+
+def test_similar_documents(spark, corpus):
+    docs = plain.documents(spark, list(corpus.items()))
+    rows = similar_documents(docs).collect()
+    want = plain.similar(corpus)
+    assert {r["doc_id"]: r["component_id"] for r in rows} == want
+    assert {r["doc_id"]: r["n_shingles"] for r in rows} == {k: len(plain.shingles(v)) for k, v in corpus.items()}
+    assert len(rows) == len(corpus)
+
+
+def test_similar_documents_odd_rows(spark):
+    text = "a b c d e f g"
+    docs = plain.documents(spark, [(7, text), (7, text), (3, text), (None, text), (None, "z"), (9, None), (8, "")])
+    rows = sorted((str(r["doc_id"]), r["n_shingles"], r["component_id"]) for r in similar_documents(docs).collect())
+    assert rows == [("3", 3, 3), ("7", 3, 3), ("7", 3, 3), ("8", 0, 8), ("9", 0, 9), ("None", 1, None), ("None", 3, 3)]
+    assert similar_documents(docs.limit(0)).collect() == []
+
+
+def test_many_near_copies_become_one_component(spark):
+    rng = random.Random(1)
+    base = prose(rng, 120)
+    texts = {i: edited(rng, base, rng.randrange(4)) for i in range(400)}
+    rows = similar_documents(plain.documents(spark, list(texts.items()))).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == plain.similar(texts)
+
+
+def test_similar_sets_share_a_signature():
+    rng = np.random.default_rng(3)
+    bands = Bands(Fraction(4, 5))
+    for size in [*range(1, 40), 64, 65, 80, 255, 256, 257, 320, 1024, 1290, 4000]:
+        for _ in range(20):
+            a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+            drop = rng.integers(0, size // 9 + 1)
+            add = rng.integers(0, size // 9 + 1)
+            b = np.unique(np.concatenate((a[drop:], rng.integers(0, 1 << 63, add, dtype=np.uint64))))
+            common = len(np.intersect1d(a, b))
+            if common * 5 >= 4 * (len(a) + len(b) - common):
+                assert np.isin(bands.signatures(a), bands.signatures(b)).any(), size
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(100, 160)] + [(1, i) for i in range(2, 50)] + [(7, 7), (None, 3), (400, 300)]
+    found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = {i: 100 for i in range(100, 161)} | {i: 1 for i in range(1, 50)} | {400: 300, 300: 300}
+    assert found == want
+
+
+def check_passages(docs, texts):
+    rows = substring_dedup.removal_report(docs).collect()
+    want = plain.without_passages(texts)
+    assert len(rows) == len(texts)
+    for r in rows:
+        kept, gone = want[r["doc_id"]]
+        assert (r["n_words"], r["n_removed"]) == (len(kept) + gone, gone)
+        assert r["kept_sha256"] == hashlib.sha256(" ".join(kept).encode()).hexdigest()
+    cut = {r["doc_id"]: r["text"] for r in substring_dedup.remove_repeats(docs).collect()}
+    assert {k: plain.words(v) for k, v in cut.items()} == {k: v[0] for k, v in want.items()}
+    return cut
+
+
+@pytest.fixture(scope="module")
+def passages():
+    rng = random.Random(2)
+    shared = [prose(rng, n, 10**6) for n in (49, 50, 51, 75, 300)]
+    texts = {}
+    for i in range(120):
+        parts = [prose(rng, rng.randrange(0, 40), 10**6) for _ in range(3)]
+        parts.insert(1, rng.choice(shared) if i % 2 else "")
+        texts[1000 - i * 3] = " \n ".join(parts)
+    texts |= {1: None, 2: "", 5: "same " * 300, 3: "same " * 200, 4: prose(rng, 5000, 10**6)}
+    return texts
+
+
+def test_repeated_passages(spark, passages):
+    docs = plain.documents(spark, list(passages.items()))
+    cut = check_passages(docs, passages)
+    untouched = [k for k, (_, gone) in plain.without_passages(passages).items() if not gone]
+    assert untouched and all(cut[k] == passages[k] for k in untouched)
+    assert substring_dedup.remove_repeats(docs).columns == docs.columns
+
+
+def test_hot_passages(spark, passages, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "LEAST_HOT", 5)
+    monkeypatch.setattr(substring_dedup, "SHARE", 10)
+    monkeypatch.setattr(substring_dedup, "LOOKUP", 3)
+    check_passages(plain.documents(spark, list(passages.items())), passages)
+
+
+def test_passages_of_odd_rows(spark):
+    long = " ".join(map(str, range(60)))
+    docs = plain.documents(spark, [(4, long), (4, long), (2, long), (None, long), (9, long + " x"), (4, "other")])
+    rows = sorted((str(r["doc_id"]), r["n_words"], r["n_removed"]) for r in substring_dedup.removal_report(docs).collect())
+    assert rows == [("2", 60, 0), ("4", 1, 0), ("4", 60, 60), ("4", 60, 60), ("9", 61, 60), ("None", 60, 0)]
+    assert substring_dedup.removal_report(docs.limit(0)).collect() == []
+
+
+def test_boilerplate_lines(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(300):
+        site = rng.choice(["a", "a", "b", "c", None])
+        lines = [prose(rng, 5), rng.choice(["menu", " menu ", "footer", ""]), prose(rng, 3), "menu" if i % 3 else "x y"]
+        rows.append((i, "\n".join(lines), site))
+    rows += [(1000, None, "a"), (1001, "", "a"), (1002, "menu\n" * 4000, "b"), (5, rows[5][1], rows[5][2])]
+    docs = plain.documents(spark, rows)
+    kept = line_dedup.drop_boilerplate(docs)
+    want = plain.without_boilerplate([(s, t) for _, t, s in rows], line_dedup.RATIO, line_dedup.MIN_PAGES)
+    assert kept.columns == docs.columns
+    found = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert found == sorted(((r[0], w) for r, w in zip(rows, want)), key=str)
+    assert any(w != r[1] for r, w in zip(rows, want))
+    assert line_dedup.drop_boilerplate(docs.limit(0)).collect() == []
+
+
+def test_pages_equal_sql(spark, tmp_path):
+    menu = "<nav><ul><li>Home</li><li>News</li></ul></nav>"
+    rows = [
+        (i, f"https://u@Site{i % 2}.example.com:80/p{i}", f"<html>{menu}<p>text {i} &lt;b&gt; &amp;c</p><script>x\n</script><!-- y -->")
+        for i in range(40)
+    ]
+    rows += [(50, None, None), (51, "no url", "<p>"), (52, "http://site0.example.com", ""), (3, *rows[3][1:])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages.toPandas().to_parquet(tmp_path / "pages.parquet")
+    for path in (tmp_path, SF):
+        db = duckdb.connect()
+        db.sql(f"create view pages as select * from '{path}/pages.parquet'")
+        want = sorted(db.sql(line_dedup.ORACLE_SQL).fetchall(), key=str)
+        table = spark.read.parquet(f"{path}/pages.parquet")
+        assert sorted(map(tuple, line_dedup.site_line_report(table).collect()), key=str) == want
+    dropped = line_dedup.site_line_report(pages).where("n_dropped > 0").count()
+    assert dropped == 41
