@@ -115,11 +115,11 @@ def test_near_vectors(spark):
     for i, b in enumerate(base):
         for _ in range(1 if i % 3 else 12):
             rows.append((len(rows), (b + rng.normal(size=16) * 0.08 * np.linalg.norm(b) / 4).tolist()))
-    rows += [(len(rows) + k, list(base[0])) for k in range(3)]
+    rows += [(len(rows) + k, base[0].tolist()) for k in range(3)]
     rows += [(len(rows), (base[0] * 7).tolist())]
     n = len(rows)
     odd = [None, [], [0.0] * 16, [None] + [1.0] * 15, [float("nan")] * 16, [float("inf")] * 16, [1.0, 2.0]]
-    rows += [(n + k, v) for k, v in enumerate(odd)] + [(None, list(base[0]))]
+    rows += [(n + k, v) for k, v in enumerate(odd)] + [(None, base[0].tolist())]
     table = spark.createDataFrame([(i, v, 0, 1) for i, v in rows], "vec_id long, embedding array<double>, label int, node int")
     found = {r["vec_id"]: tuple(r)[1:] for r in embedding_dedup.near_vectors(table).collect()}
     x = np.asarray([v for _, v in rows[:n]])
