@@ -1,14 +1,17 @@
 """Result and history tables: parquet folders partitioned by date.
 
-A change is first written in full to a new scratch table, which also ends any
-reading of the partitions about to be replaced. Then the dates it concerns are
-swapped in. Either step can be repeated after a failure.
+The new rows of a change are first written to a scratch table: their plan runs once,
+their dates are then known, and a change that would reach beyond what it names is
+refused before the table is touched. One dynamic overwrite puts them, with what stays
+of the dates concerned, in place. It reads the table and replaces partitions when all
+tasks are done, so a failure leaves the table as it was and the change can be repeated.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from datetime import date as Date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +21,9 @@ from pyspark.sql import types as T
 from kpiwarden.functions.dates import as_date
 from kpiwarden.functions.rules import CATEGORIES, KEEP_DAYS, Rule
 from kpiwarden.operators.selection import of_kpis
-from kpiwarden.plans.maintain import replace_date, replace_series, replace_slice, reseed_class
+from kpiwarden.plans.maintain import without_kpis
 from kpiwarden.plans.score import alerts
-from kpiwarden.sources.schema import conform
+from kpiwarden.sources.schema import KEYS, conform
 from kpiwarden.sources.scratch import scratch_path
 
 
@@ -39,30 +42,51 @@ class DatedTable:
         return self.spark.read.schema(self.schema).parquet(self.path).select(*self.schema.names)
 
     def append(self, rows: DataFrame) -> None:
-        """Add rows. Columns the table has and the rows lack become null."""
-        self._write(self._filled(rows), self.path, "append")
+        """Add rows. Columns the table has and the rows lack become null; a null date fails."""
+        self._write(self._filled(rows), "append")
 
     def replace_slice(self, fresh: DataFrame, kpis: DataFrame, day: str) -> None:
         """Replace the rows of some KPIs on one date."""
-        on_day = self.read().where(F.col("date") == as_date(day))
-        self._swap(replace_slice(on_day, fresh, kpis, day), [Date.fromisoformat(day)])
+        self.replace_range(fresh, day, day, kpis)
 
     def replace_date(self, fresh: DataFrame, day: str) -> None:
         """Replace all rows of one date."""
-        on_day = self.read().where(F.col("date") == as_date(day))
-        self._swap(replace_date(on_day, fresh, day), [Date.fromisoformat(day)])
+        self.replace_range(fresh, day, day)
+
+    def replace_range(
+        self, fresh: DataFrame, start: str, end: str, kpis: DataFrame | None = None
+    ) -> None:
+        """Replace all rows, or those of some KPIs, on the dates from start to end, both included.
+
+        Fresh rows of other dates or KPIs are refused.
+        """
+        first, last = Date.fromisoformat(start), Date.fromisoformat(end)
+        with self._staged(fresh) as staged:
+            found = staged.dates()
+            if found and not first <= found[0] <= found[-1] <= last:
+                raise ValueError(f"rows dated {found[0]} to {found[-1]} cannot replace {start} to {end}")
+            days = {d for d in self.dates() if first <= d <= last}
+            if kpis is None:
+                self._swap(None, staged, days)
+            else:
+                staged.refuse_others(kpis.select("kpi"))
+                self._swap(without_kpis(self._on(days), kpis), staged, days)
 
     def replace_series(self, fresh: DataFrame, requests: DataFrame) -> None:
-        """Replace the rows of the requested dates and series."""
-        days = _dates(requests)
-        old = self.read().where(F.col("date").isin(days))
-        self._swap(replace_series(old, fresh, requests), days)
+        """Replace the rows of the requested dates and series; other fresh rows are refused."""
+        asked = requests.select("date", *KEYS).distinct()
+        with self._staged(fresh) as staged:
+            staged.refuse_others(asked)
+            days = set(_dates(requests))
+            kept = self._on(days).join(asked, asked.columns, "left_anti")
+            self._swap(kept.select(*self.schema.names), staged, days)
 
     def reseed(self, fresh: DataFrame, kpis: DataFrame) -> None:
-        """Replace all rows of some KPIs, touching only dates that have or get any."""
-        table = self.read()
-        days = _dates(of_kpis(table, kpis).select("date").union(fresh.select("date")))
-        self._swap(reseed_class(table.where(F.col("date").isin(days)), fresh, kpis), days)
+        """Replace all rows of some KPIs, touching only dates that have or get any; others are refused."""
+        with self._staged(fresh) as staged:
+            staged.refuse_others(kpis.select("kpi"))
+            days = {*_dates(of_kpis(self.read(), kpis)), *staged.dates()}
+            self._swap(without_kpis(self._on(days), kpis), staged, days)
 
     def retain(self, as_of: str, keep_days: int = KEEP_DAYS) -> None:
         """Remove the folders of dates ``keep_days`` or more before ``as_of``."""
@@ -81,33 +105,52 @@ class DatedTable:
             Date.fromisoformat(n[5:]) for n in names if re.fullmatch(r"date=\d{4}-\d\d-\d\d", n)
         )
 
-    def _swap(self, content: DataFrame, days: Iterable[Date]) -> None:
-        """Make the given dates hold exactly ``content``."""
-        staged_path = scratch_path(self.spark, "staged")
-        self._write(self._filled(content), staged_path, "errorifexists")
-        staged = DatedTable(self.spark, staged_path, self.schema)
+    def refuse_others(self, allowed: DataFrame) -> None:
+        """Raise if a row lies outside ``allowed``, given by some of its columns."""
+        if not self.read().join(allowed, allowed.columns, "left_anti").isEmpty():
+            raise ValueError(f"rows outside the given {', '.join(allowed.columns)}")
+
+    def _on(self, days: Iterable[Date]) -> DataFrame:
+        return self.read().where(F.col("date").isin(sorted(days)))
+
+    @contextmanager
+    def _staged(self, fresh: DataFrame) -> Iterator[DatedTable]:
+        """The fresh rows as a scratch table, removed in the end."""
+        staged = DatedTable(self.spark, scratch_path(self.spark, "staged"), self.schema)
+        rows = staged._filled(fresh)
+        try:
+            rows.write.partitionBy("date").parquet(staged.path)
+            yield staged
+        finally:
+            self._delete(staged.path)
+
+    def _swap(self, kept: DataFrame | None, staged: DatedTable, days: Iterable[Date]) -> None:
+        """Make the given dates hold the kept and the staged rows, and nothing else."""
         filled = set(staged.dates())
+        content = staged.read()
+        if kept is not None:
+            filled |= set(_dates(kept))
+            content = content.unionByName(kept)
         if filled:
-            self._write(staged.read(), self.path, "overwrite")
-        for day in days:
-            if day not in filled:
-                self._delete(self._folder(day))
-        self._delete(staged_path)
+            self._write(content, "overwrite")
+        for day in set(days) - filled:
+            self._delete(self._folder(day))
 
     def _filled(self, rows: DataFrame) -> DataFrame:
         missing = [f for f in self.schema if f.name not in rows.columns]
         for field in missing:
             rows = rows.withColumn(field.name, F.lit(None).cast(field.dataType))
-        return conform(rows, self.schema)
+        dated = F.coalesce("date", F.raise_error(F.lit("a stored row needs a date")).cast("date"))
+        return conform(rows, self.schema).withColumn("date", dated)
 
-    def _write(self, rows: DataFrame, path: str, mode: str) -> None:
+    def _write(self, rows: DataFrame, mode: str) -> None:
         """Write by date. Rebalancing gives few files per date and splits large dates."""
         (
             rows.hint("rebalance", "date")
             .write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("date")
-            .parquet(path)
+            .parquet(self.path)
         )
 
     def _folder(self, day: Date) -> str:
@@ -159,12 +202,20 @@ def publish_day(
     Rows of the same date are replaced in both tables, those of ``kpis`` only if
     given. The history is taken from the stored results, so nothing is scored twice.
     """
-    if kpis is None:
-        results.replace_date(scored, day)
-    else:
-        results.replace_slice(scored, kpis, day)
-    stored = alerts(results.read().where(F.col("date") == as_date(day)), rule)
-    if kpis is None:
-        history.replace_date(stored, day)
-    else:
-        history.replace_slice(of_kpis(stored, kpis), kpis, day)
+    publish_range(results, history, scored, rule, day, day, kpis)
+
+
+def publish_range(
+    results: DatedTable,
+    history: DatedTable,
+    scored: DataFrame,
+    rule: Rule,
+    start: str,
+    end: str,
+    kpis: DataFrame | None = None,
+) -> None:
+    """``publish_day`` for all dates from start to end, both included, as a replay gives them."""
+    results.replace_range(scored, start, end, kpis)
+    within = F.col("date").between(as_date(start), as_date(end))
+    stored = alerts(results.read().where(within), rule)
+    history.replace_range(stored if kpis is None else of_kpis(stored, kpis), start, end, kpis)

@@ -6,7 +6,7 @@ from kpiwarden.functions.rules import COMPLETENESS, PLAIN
 from kpiwarden.plans.score import score, score_completeness
 from kpiwarden.plans.seed import seed
 from kpiwarden.sources import schema
-from kpiwarden.sources.store import DatedTable, publish_day, retain_histories
+from kpiwarden.sources.store import DatedTable, publish_day, publish_range, retain_histories
 
 
 @pytest.fixture
@@ -138,3 +138,85 @@ def test_completeness_history_takes_not_ok_only(spark, make, tmp_path):
     publish_day(results, history, scored, COMPLETENESS, "2024-01-02")
     assert [(r["row_count"], r["status"]) for r in history.read().collect()] == [(50, "not ok")]
     assert results.read().count() == 4
+
+
+def three_days_of(make, kpi):
+    return make.results([(f"2024-01-0{d}", make.key("S00001", kpi=kpi), float(d), "ok") for d in (1, 2, 3)])
+
+
+def test_rows_of_other_dates_and_kpis_are_refused(make, tables):
+    results, _ = tables
+    results.append(three_days_of(make, "b"))
+    before = rows_of(results)
+    a, b = (make.key("S00001", kpi=k) for k in "ab")
+    two_days = make.results([("2024-01-01", a, 1.0, "ok"), ("2024-01-02", a, 1.0, "ok")])
+    of_a, of_b = (make.kpi_list(PLAIN, [k]).select("kpi") for k in "ab")
+    asked = make.requests([("2024-01-02", a)])
+    for change in (
+        lambda: results.replace_slice(two_days, of_a, "2024-01-02"),
+        lambda: results.replace_slice(make.results([("2024-01-02", b, 1.0, "ok")]), of_a, "2024-01-02"),
+        lambda: results.replace_date(two_days, "2024-01-02"),
+        lambda: results.replace_series(two_days, asked),
+        lambda: results.reseed(two_days, of_b),
+        lambda: results.replace_range(two_days, "2024-01-02", "2024-01-31", of_a),
+    ):
+        with pytest.raises(ValueError):
+            change()
+        assert rows_of(results) == before
+
+
+def test_rows_without_a_date_are_refused(spark, make, tables):
+    results, _ = tables
+    results.append(three_days_of(make, "b"))
+    before = rows_of(results)
+    undated = spark.createDataFrame([(None, *make.key("S1", kpi="a"), 1.0, None, None, None, "ok")], schema.ANOMALY_RESULTS)
+    of_a = make.kpi_list(PLAIN, ["a"]).select("kpi")
+    for change in (
+        lambda: results.append(undated),
+        lambda: results.replace_date(undated, "2024-01-02"),
+        lambda: results.replace_slice(undated, of_a, "2024-01-02"),
+        lambda: results.reseed(undated, of_a),
+    ):
+        with pytest.raises(Exception, match="needs a date"):
+            change()
+        assert rows_of(results) == before
+
+
+@pytest.mark.parametrize("with_kpis", [True, False])
+def test_publish_range(make, tables, with_kpis):
+    results, history = tables
+    results.append(three_days_of(make, "a").unionByName(three_days_of(make, "b")))
+    history.append(make.results([("2024-01-02", make.key("S00001", kpi="b"), 9.0, "anomaly")]))
+    a = make.key("S00001", kpi="a")
+    scored = make.results([("2024-01-02", a, 50.0, "anomaly"), ("2024-01-03", a, 60.0, "ok")])
+    kpis = make.kpi_list(PLAIN, ["a"]).select("kpi") if with_kpis else None
+    for _ in range(2):
+        publish_range(results, history, scored, PLAIN, "2024-01-02", "2024-01-03", kpis)
+        others = [("2024-01-02", "b", "S00001", 2.0, "ok"), ("2024-01-03", "b", "S00001", 3.0, "ok")]
+        assert rows_of(results) == sorted(
+            [
+                ("2024-01-01", "a", "S00001", 1.0, "ok"),
+                ("2024-01-01", "b", "S00001", 1.0, "ok"),
+                ("2024-01-02", "a", "S00001", 50.0, "anomaly"),
+                ("2024-01-03", "a", "S00001", 60.0, "ok"),
+                *(others if with_kpis else []),
+            ],
+            key=repr,
+        )
+        older = [("2024-01-02", "b", "S00001", 9.0, "anomaly")] if with_kpis else []
+        assert rows_of(history) == [("2024-01-02", "a", "S00001", 50.0, "anomaly"), *older]
+
+
+def test_reseed_runs_the_seed_plan_once(spark, make, tables):
+    results, _ = tables
+    results.append(three_days_of(make, "b"))
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    fresh = three_days_of(make, "a").coalesce(1)
+    results.reseed(fresh.mapInArrow(seen, fresh.schema), make.kpi_list(PLAIN, ["a"]).select("kpi"))
+    assert runs.value == 3 and len(rows_of(results)) == 6
