@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -32,6 +33,9 @@ HEADLINE = (
     "replay_rate_trend",
     "replace_slice",
     "retention_history",
+    "score_all_look_back",
+    "completeness_look_back",
+    "seed_look_back",
 )
 WARM_RUNS = 2
 
@@ -45,6 +49,7 @@ def main() -> None:
         .appName("kpiwarden-bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="kpiwarden-bench-"))
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -54,6 +59,7 @@ def main() -> None:
     times: dict[str, float] = {}
     derived.observations(spark, sf_dir)
     derived.requests(spark, sf_dir)
+    derived.kpi_list(spark, sf_dir)
     setup = round(time.perf_counter() - started, 3)
     chosen = queries()
     for name in HEADLINE:

@@ -6,7 +6,7 @@ are whole numbers, so that sums do not depend on their order. ``oracle.py`` hold
 the same definitions in SQL; see FIXTURES.md for the cases.
 
 The library works on stored tables, so the derived rows are written once per
-application and folder to the scratch folder, sorted by date.
+application and folder to the scratch folder, partitioned by date.
 """
 
 from __future__ import annotations
@@ -81,21 +81,26 @@ def _per_metric(df: DataFrame) -> DataFrame:
     )
 
 
-_stored: dict[tuple[str, str, str], str] = {}
+_stored: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
-    """What ``make`` derives, read from where the first call of this application stored it."""
+def _once(spark: SparkSession, sf_dir: str, name: str, make, by_date: bool = False) -> DataFrame:
+    """What ``make`` derives, stored by the first call of this application and read from there.
+
+    Dated tables have a folder per date, as the library's own have. Folders are listed once.
+    """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
         path = scratch_path(spark, name)
-        make(spark, sf_dir).write.parquet(path)
-        _stored[key] = path
-    return spark.read.parquet(_stored[key])
+        rows = make(spark, sf_dir)
+        writer = rows.repartition("date").write.partitionBy("date") if by_date else rows.write
+        writer.parquet(path)
+        _stored[key] = spark.read.schema(rows.schema).parquet(path)
+    return _stored[key]
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once(spark, sf_dir, "derived", _derive)
+    return _once(spark, sf_dir, "derived", _derive, by_date=True)
 
 
 def _derive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +160,7 @@ def _derive(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         "row_count",
     )
-    return sites.unionByName(national).sortWithinPartitions("date", "kpi")
+    return sites.unionByName(national)
 
 
 _KEY_COLUMNS = ("date", "kpi", "granularity", "node", "vendor", "level", "location")
@@ -219,6 +224,10 @@ def site_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kpi_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One KPI per metric and return flag; some also listed in another category."""
+    return _once(spark, sf_dir, "kpi-list", _kpi_list)
+
+
+def _kpi_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = [
         F.struct(F.lit(m).alias("metric"), *[F.lit(v).alias(c) for c, v in zip(
             ("rate_status", "trend", "status", "category"), entry)])

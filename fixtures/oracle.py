@@ -81,6 +81,8 @@ VIEWS = {
     ('disc', 'Y', 'F', 'include', '{CATEGORY}'), ('line', 'Y', 'T', 'include', '{CATEGORY}'),
     ('tax', 'N', 'F', 'exclude', '{CATEGORY}'), ('disc', 'N', 'F', 'include', 'core')
   ) m(metric, rate_status, trend, status, category)""",
+    "bad_sites": "select distinct location from site_master where level = 'site' and length(location) <> 6",
+    "bad_counts": "select distinct location from row_counts where level = 'site' and length(location) <> 6",
     "requests": f"""
   select dd.date, {KEYS} from (select distinct {KEYS} from observations)
   cross join (values (date '{DAY}'), (date '{LATER_DAY}')) dd(date)""",
@@ -88,6 +90,9 @@ VIEWS = {
 
 
 def with_views(query: str, **extra: str) -> str:
-    """The query with all fixture views, and any extra ones, in front."""
+    """The query with all fixture views, and any extra ones, in front.
+
+    Each is computed once; left to inline them, the engine can take minutes under a row limit.
+    """
     ctes = {**VIEWS, **extra}
-    return "with " + ",\n".join(f"{n} as ({sql})" for n, sql in ctes.items()) + "\n" + query
+    return "with " + ",\n".join(f"{n} as materialized ({sql})" for n, sql in ctes.items()) + "\n" + query

@@ -11,8 +11,8 @@ _ON = " and ".join(f"{{a}}.{k} = {{b}}.{k}" for k in KEYS.split(", "))
 _FILLED = " and ".join(
     f"{k} is not null" for k in ("kpi", "granularity", "node", "level", "location")
 )
-_BAD = "select location from site_master where level = 'site' and length(location) <> 6"
-_BAD_COUNTS = "select location from row_counts where level = 'site' and length(location) <> 6"
+_BAD = "select location from bad_sites"
+_BAD_COUNTS = "select location from bad_counts"
 
 # name: (rate_status, trend, values rejected before the band is looked at, values seeded)
 _CLASSES = {
@@ -79,21 +79,55 @@ def _sigma_band(source: str, by: str = KEYS) -> str:
   where r <= 7 group by {by}"""
 
 
-def _scored(name: str, day: str = DAY) -> str:
-    rejected = _CLASSES[name][2]
-    weekday = f"and dayname(date) = dayname(date '{day}')" if name.endswith("trend") else ""
-    history = f"""(select * from results where status = 'ok' and date < date '{day}' {weekday}
-      and kpi in ({_kpis(name)}) and location not in ({_BAD}) and {_FILLED})"""
-    return f"""select cek.*, b_atas, b_bawah, rata, {_anomaly_status(rejected)} as status
-  from (select * from observations where date = date '{day}' and kpi in ({_kpis(name)})
-      and location not in ({_BAD}) and {_FILLED}) cek
-  left join ({_band(history, "value", 0.90, 1.1)}) bl on {_on("cek", "bl")}"""
+# What the classes differ in: is zero rejected, and above which value is one rejected?
+_MATRIX = """(values ('N', 'F', true, 'infinity'::double), ('N', 'T', false, 'infinity'::double),
+    ('Y', 'F', false, 100.0::double), ('Y', 'T', false, 100.0::double)
+  ) matrix(rate_status, trend, zero_is_bad, greatest_value)"""
+
+# The scored day of all four classes.
+_SCORED = {
+    "scored_kpis": f"""select distinct kpi, rate_status, trend, zero_is_bad, greatest_value
+  from kpi_list join {_MATRIX} using (rate_status, trend)
+  where status = 'include' and category = '{CATEGORY}'""",
+    "recent_mean": f"""select kpi, rate_status, trend, granularity, node, vendor, level, location, avg(value) as rata
+  from (
+    select * exclude (rata) from results join scored_kpis using (kpi)
+    where status = 'ok' and date < date '{DAY}'
+      and (trend = 'F' or dayname(date) = dayname(date '{DAY}'))
+    qualify rank() over (partition by rate_status, trend, {KEYS} order by date desc) <= 7)
+  group by all""",
+    "scored": f"""select date, {KEYS}, value, rata * 1.1::double as b_atas, rata * 0.90::double as b_bawah, rata,
+    if(value between rata * 0.90::double and rata * 1.1::double
+      and value >= 0 and value <= greatest_value and not (zero_is_bad and value = 0), 'ok', 'anomaly') as status,
+    rate_status, trend
+  from observations join scored_kpis using (kpi)
+  left join recent_mean using (rate_status, trend, {KEYS})
+  where date = date '{DAY}' and {_FILLED} and location not in ({_BAD})""",
+}
+
+_COUNTED_DAY = {
+    "recent_count": f"""select {KEYS}, avg(row_count) as rata
+  from (select * exclude (rata) from completeness_results where status = 'ok' and date < date '{DAY}'
+    qualify rank() over (partition by {KEYS} order by date desc) <= 7)
+  group by all""",
+    "scored_counts": f"""select *, case
+      when row_count > b_atas then 'duplicated' when row_count >= b_bawah then 'ok' else 'not ok' end as status
+  from (
+    select date, {KEYS}, row_count, rata * 1.08::double as b_atas, rata * 0.92::double as b_bawah, rata
+    from row_counts left join recent_count using ({KEYS})
+    where date = date '{DAY}' and location not in ({_BAD_COUNTS}))""",
+}
+
+
+def _class(name: str) -> str:
+    rate, trend = _CLASSES[name][:2]
+    return f"(select * from scored where rate_status = '{rate}' and trend = '{trend}')"
 
 
 def _score(name: str) -> str:
     extra = ", dayname(date) as day_name" if name.endswith("trend") else ""
     return with_views(
-        f"select date, {KEYS}, value, {_BOUNDS}, status{extra} from ({_scored(name)})"
+        f"select date, {KEYS}, value, {_BOUNDS}, status{extra} from {_class(name)}", **_SCORED
     )
 
 
@@ -113,15 +147,6 @@ def _counted(source: str, by: str, value: str = "value") -> str:
     )
 
 
-def _completeness() -> str:
-    history = f"""(select * from completeness_results where status = 'ok'
-      and date < date '{DAY}' and location not in ({_BAD_COUNTS}))"""
-    return f"""select cek.*, b_atas, b_bawah, rata, {_count_status()} as status
-  from (select * from row_counts where date = date '{DAY}'
-      and location not in ({_BAD_COUNTS})) cek
-  left join ({_band(history, "row_count", 0.92, 1.08)}) bl on {_on("cek", "bl")}"""
-
-
 def _detail_views(source: str, results: str, value: str, asked: str = "requests") -> dict[str, str]:
     by = f"asked, {KEYS}"
     past = f"""(select q.date as asked, d.* from asked_for q join accepted d
@@ -167,7 +192,7 @@ def _detail(value: str, views: dict[str, str], where: str = "true") -> str:
     )
 
 
-def _replay(name: str) -> str:
+def _replay_views(name: str) -> dict[str, str]:
     """One common table expression per day, each seeing the accepted rows of those before."""
     rejected = _CLASSES[name][2]
     day, end = date.fromisoformat(REPLAY_START), date.fromisoformat(REPLAY_END)
@@ -184,30 +209,46 @@ def _replay(name: str) -> str:
     step = 0
     while day <= end:
         step += 1
-        weekday = f"where dayname(date) = dayname(date '{day}')" if name.endswith("trend") else ""
-        past = f"(select * from accepted_{step - 1} {weekday})"
+        past = f"(select * from accepted_{step - 1} where true"
+        if name.endswith("trend"):
+            past += f" and dayname(date) = dayname(date '{day}')"
         views[f"day_{step}"] = f"""
-  select cek.*, b_atas, b_bawah, rata, {_anomaly_status(rejected)} as status
-  from (select * from in_range where date = date '{day}') cek
-  left join ({_band(past, "value", 0.90, 1.1)}) bl on {_on("cek", "bl")}"""
+  select date, {KEYS}, value, b_atas, b_bawah, rata, {_anomaly_status(rejected)} as status
+  from in_range left join ({_band(past + ")", "value", 0.90, 1.1)}) using ({KEYS})
+  where date = date '{day}'"""
         views[f"accepted_{step}"] = f"""select * from accepted_{step - 1} union all
   select date, {KEYS}, value from day_{step} where status = 'ok'"""
         day += timedelta(days=1)
     every = " union all ".join(f"select * from day_{i}" for i in range(1, step + 1))
-    sql = with_views(
-        f"select date, {KEYS}, value, {_BOUNDS}, status from ({every})", **views
+    return views | {"replayed": every}
+
+
+def _replay(name: str) -> str:
+    return with_views(
+        f"select date, {KEYS}, value, {_BOUNDS}, status from replayed", **_replay_views(name)
     )
-    for view in views:
-        sql = sql.replace(f"{view} as (", f"{view} as materialized (", 1)
-    return sql
 
 
-def _classified(value: str, status: str) -> str:
+def _stored_replay() -> str:
+    within = f"date between date '{REPLAY_START}' and date '{REPLAY_END}' and kpi in ({_kpis('plain')})"
+    parts = []
+    for stored, which in (("results", "true"), ("history", "status = 'anomaly'")):
+        parts += [
+            f"select '{stored}' as stored, date, kpi, status, value from results where not ({within}) and {which}",
+            f"select '{stored}', date, kpi, status, value from replayed where {which}",
+        ]
+    return with_views(_counted(" union all ".join(parts), "stored, date, kpi, status"), **_replay_views("plain"))
+
+
+def _classified(value: str, status: str, low: float, high: float, kpis: str = "") -> str:
+    """Every stored row judged against the rule's band around its own mean; clusters have no lower bound."""
     table = "results" if value == "value" else "completeness_results"
+    table += f" where kpi in ({kpis})" if kpis else ""
     return _counted(
         f"""select kpi, level, {value}, {status} as status from (
-      select kpi, level, {value}, cast(130 as double) as b_atas,
-        case when level <> 'cluster' then cast(110 as double) end as b_bawah from {table})""",
+      select kpi, level, {value}, middle * {high}::double as b_atas,
+        case when level <> 'cluster' then middle * {low}::double end as b_bawah
+      from (select *, case when {value} % 3 = 0 then 120 else rata end as middle from {table}))""",
         "kpi, level, status", value,
     )
 
@@ -296,22 +337,18 @@ def oracle_sql() -> dict[str, str]:
             from requests q"""
         ),
         "score_all": with_views(
-            " union all ".join(
-                f"select date, {KEYS}, value, {_BOUNDS}, status, '{c[0]}' as rate_status, "
-                f"'{c[1]}' as trend from ({_scored(name)})"
-                for name, c in _CLASSES.items()
-            )
+            f"select date, {KEYS}, value, {_BOUNDS}, status, rate_status, trend from scored", **_SCORED
         ),
         "history_anomaly": with_views(
-            f"select date, {KEYS}, value, {_BOUNDS}, status from ({_scored('plain')}) "
-            "where status = 'anomaly'"
+            f"select date, {KEYS}, value, {_BOUNDS}, status from {_class('plain')} where status = 'anomaly'",
+            **_SCORED,
         ),
         "completeness_score": with_views(
-            f"select date, {KEYS}, row_count, {_BOUNDS}, status from ({_completeness()})"
+            f"select date, {KEYS}, row_count, {_BOUNDS}, status from scored_counts", **_COUNTED_DAY
         ),
         "history_completeness": with_views(
-            f"select date, {KEYS}, row_count, {_BOUNDS}, status from ({_completeness()}) "
-            "where status = 'not ok'"
+            f"select date, {KEYS}, row_count, {_BOUNDS}, status from scored_counts where status = 'not ok'",
+            **_COUNTED_DAY,
         ),
         "detail_anomaly": _detail("value", _ANOMALY_DETAIL),
         "detail_init": _detail("value", _ANOMALY_DETAIL, "status = 'ok' and rata is null"),
@@ -327,9 +364,10 @@ def oracle_sql() -> dict[str, str]:
         "replace_slice": with_views(
             _counted(
                 f"{kept_of_results} union all "
-                f"select date, kpi, status, value from ({_scored('plain')})",
+                f"select date, kpi, status, value from {_class('plain')}",
                 "date, kpi, status",
-            )
+            ),
+            **_SCORED,
         ),
         "reseed_class": with_views(
             _counted(
@@ -343,9 +381,10 @@ def oracle_sql() -> dict[str, str]:
             _counted(
                 f"""select date, kpi, status, row_count from completeness_results
                   where date <> date '{DAY}'
-                union all select date, kpi, status, row_count from ({_completeness()})""",
+                union all select date, kpi, status, row_count from scored_counts""",
                 "date, kpi, status", "row_count",
-            )
+            ),
+            **_COUNTED_DAY,
         ),
         "replace_series": with_views(
             _counted(
@@ -365,16 +404,37 @@ def oracle_sql() -> dict[str, str]:
             where date > date '{KEEP_AS_OF}' - 31 group by all"""
         ),
         "classify_sigma": with_views(
-            _classified("value", _anomaly_status("value is null or value = 0"))
+            _classified("value", _anomaly_status("value is null or value = 0"), 0.95, 1.05)
         ),
-        "classify_completeness": with_views(_classified("row_count", _count_status())),
-        "classify_completeness_detail": with_views(_classified("row_count", _count_status())),
+        "classify_completeness": with_views(_classified("row_count", _count_status(), 0.92, 1.08)),
+        "classify_completeness_detail": with_views(_classified("row_count", _count_status(), 0.95, 1.05)),
     }
+    for plain, others in {
+        "score_all": ("score_all_look_back",),
+        "completeness_score": ("completeness_look_back",),
+        "replace_slice": ("stored_slice",),
+        "reseed_class": ("stored_reseed",),
+        "replace_date": ("stored_date",),
+        "replace_series": ("stored_series",),
+    }.items():
+        sql |= {name: sql[plain] for name in others}
+    sql["seed_look_back"] = with_views(_seeded("plain"))
+    sql["stored_append"] = with_views(_counted("select * from results", "date, kpi, status"))
+    sql["stored_replay"] = _stored_replay()
+    sql["stored_histories"] = with_views(
+        _counted(
+            f"""select category, date, kpi, value from results
+            cross join (values ('core'), ('{CATEGORY}')) c(category)
+            where status = 'anomaly' and date > date '{KEEP_AS_OF}' - 31
+              and (category <> 'core' or kpi like 'disc%')""",
+            "category, date, kpi",
+        )
+    )
     for name in _CLASSES:
         sql[f"seed_{name}"] = with_views(_seeded(name))
         sql[f"score_{name}"] = _score(name)
         sql[f"replay_{name}"] = _replay(name)
         sql[f"classify_{name}"] = with_views(
-            _classified("value", _anomaly_status(_CLASSES[name][2]))
+            _classified("value", _anomaly_status(_CLASSES[name][2]), 0.90, 1.1, _kpis(name))
         )
     return sql

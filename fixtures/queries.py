@@ -50,7 +50,10 @@ from kpiwarden.plans.score import (
 )
 from kpiwarden.plans.seed import seed
 from kpiwarden.sources.schema import BOUNDS, KEYS
+from kpiwarden.sources.scratch import scratch_path
+from kpiwarden.sources.store import DatedTable, publish_range, retain_histories
 
+LOOK_BACK = 60
 WITH_WEEKDAY = (*KEYS, "day_name")
 
 
@@ -69,6 +72,7 @@ class Tables:
     """The derived tables of one folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
         self._make = lambda name: getattr(derived, name)(spark, sf_dir)
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -79,9 +83,10 @@ class Tables:
         return self.observations, self.results, self.kpi_list, self.site_master
 
 
-def _seed(t: Tables, rule: Rule) -> DataFrame:
+def _seed(t: Tables, rule: Rule, look_back: int | None = None) -> DataFrame:
     return seed(
-        t.observations, t.kpi_list, t.site_master, category=CATEGORY, rule=rule, up_to=CUT_OFF
+        t.observations, t.kpi_list, t.site_master,
+        category=CATEGORY, rule=rule, up_to=CUT_OFF, look_back=look_back,
     )
 
 
@@ -89,12 +94,14 @@ def _score(t: Tables, rule: Rule) -> DataFrame:
     return rounded(score(*t.scoring, category=CATEGORY, rule=rule, day=DAY))
 
 
-def _score_all(t: Tables) -> DataFrame:
-    return rounded(score_all(*t.scoring, category=CATEGORY, day=DAY))
+def _score_all(t: Tables, look_back: int | None = None) -> DataFrame:
+    return rounded(score_all(*t.scoring, category=CATEGORY, day=DAY, look_back=look_back))
 
 
-def _completeness(t: Tables) -> DataFrame:
-    return rounded(score_completeness(t.row_counts, t.completeness_results, day=DAY))
+def _completeness(t: Tables, look_back: int | None = None) -> DataFrame:
+    return rounded(
+        score_completeness(t.row_counts, t.completeness_results, day=DAY, look_back=look_back)
+    )
 
 
 def _replay(t: Tables, rule: Rule) -> DataFrame:
@@ -141,12 +148,14 @@ def _recent(t: Tables, by: tuple[str, ...]) -> DataFrame:
 
 
 def _classify(t: Tables, rule: Rule) -> DataFrame:
+    """Every stored row judged against the rule's band around its own mean; clusters have no lower bound."""
     rows = t.results if rule.value == "value" else t.completeness_results
-    shifted = rows.withColumns({"b_bawah": F.lit(110.0), "b_atas": F.lit(130.0)}).withColumn(
-        "b_bawah", F.when(F.col("level") != "cluster", F.col("b_bawah"))
-    )
+    if rule in CLASS_RULES:
+        rows = of_kpis(rows, kpi_select(t.kpi_list, CATEGORY, rule))
+    lower, upper = rule.band(F.when(F.col(rule.value) % 3 == 0, 120.0).otherwise(F.col("rata")))
+    banded = rows.withColumns({"b_atas": upper, "b_bawah": F.when(F.col("level") != "cluster", lower)})
     return counted(
-        shifted.select("kpi", "level", rule.value, status_of(rule).alias("status")),
+        banded.select("kpi", "level", rule.value, status_of(rule).alias("status")),
         "kpi", "level", "status", value=rule.value,
     )
 
@@ -191,6 +200,70 @@ def _replace_series(t: Tables) -> DataFrame:
     return _replaced(maintain.replace_series(t.results, fresh, t.requests))
 
 
+def _stored_table(t: Tables, rows: DataFrame, name: str = "table") -> DatedTable:
+    """The rows as a stored table."""
+    table = DatedTable(t.spark, scratch_path(t.spark, name), rows.schema)
+    table.append(rows)
+    return table
+
+
+def _stored_slice(t: Tables) -> DataFrame:
+    table = _stored_table(t, t.results)
+    fresh = score(t.observations, table.read(), t.kpi_list, t.site_master, category=CATEGORY, rule=PLAIN, day=DAY)
+    table.replace_slice(fresh, _plain_kpis(t), DAY)
+    return _replaced(table.read())
+
+
+def _stored_reseed(t: Tables) -> DataFrame:
+    table = _stored_table(t, t.results)
+    table.reseed(_seed(t, PLAIN), _plain_kpis(t))
+    return _replaced(table.read())
+
+
+def _stored_date(t: Tables) -> DataFrame:
+    table = _stored_table(t, t.completeness_results)
+    table.replace_date(score_completeness(t.row_counts, table.read(), day=DAY), DAY)
+    return _replaced(table.read(), "row_count")
+
+
+def _stored_series(t: Tables) -> DataFrame:
+    table = _stored_table(t, t.results)
+    table.replace_series(detail(t.observations, table.read(), t.requests), t.requests)
+    return _replaced(table.read())
+
+
+def _stored_append(t: Tables) -> DataFrame:
+    early = F.col("date") < as_date(DAY)
+    table = _stored_table(t, t.results.where(early))
+    table.append(t.results.where(~early))
+    return _replaced(table.read())
+
+
+def _stored_replay(t: Tables) -> DataFrame:
+    """A replay published to results and history."""
+    results = _stored_table(t, t.results, "results")
+    history = _stored_table(t, alerts(t.results, PLAIN), "history")
+    scored = replay(
+        t.observations, results.read(), t.kpi_list, t.site_master,
+        category=CATEGORY, rule=PLAIN, start=REPLAY_START, end=REPLAY_END,
+    )
+    publish_range(results, history, scored, PLAIN, REPLAY_START, REPLAY_END, _plain_kpis(t))
+    named = [x.read().withColumn("stored", F.lit(n)) for n, x in (("results", results), ("history", history))]
+    return counted(named[0].union(named[1]), "stored", "date", "kpi", "status")
+
+
+def _stored_histories(t: Tables) -> DataFrame:
+    """Retention for the histories of categories."""
+    root = scratch_path(t.spark, "histories")
+    rows = {"core": alerts(t.results, PLAIN).where("kpi like 'disc%'"), CATEGORY: alerts(t.results, PLAIN)}
+    tables = {c: DatedTable(t.spark, f"{root}/h_{c}", r.schema) for c, r in rows.items()}
+    for category, table in tables.items():
+        table.append(rows[category])
+    retain_histories(t.spark, root, t.results.schema, KEEP_AS_OF)
+    parts = [x.read().withColumn("category", F.lit(c)) for c, x in tables.items()]
+    return counted(parts[0].union(parts[1]), "category", "date", "kpi")
+
+
 def _retention(t: Tables) -> DataFrame:
     parts = [
         maintain.retain(alerts(t.results, PLAIN), KEEP_AS_OF).select("date", "kpi", "status"),
@@ -245,6 +318,16 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "replace_date": _replace_date,
     "replace_series": _replace_series,
     "retention_history": _retention,
+    "score_all_look_back": partial(_score_all, look_back=LOOK_BACK),
+    "completeness_look_back": partial(_completeness, look_back=LOOK_BACK),
+    "seed_look_back": partial(_seed, rule=PLAIN, look_back=LOOK_BACK),
+    "stored_slice": _stored_slice,
+    "stored_reseed": _stored_reseed,
+    "stored_date": _stored_date,
+    "stored_series": _stored_series,
+    "stored_append": _stored_append,
+    "stored_replay": _stored_replay,
+    "stored_histories": _stored_histories,
 }
 for _rule in CLASS_RULES:
     _QUERIES[f"seed_{_rule.name}"] = partial(_seed, rule=_rule)

@@ -11,7 +11,7 @@ from kpiwarden.functions.rules import (
     Rule,
 )
 from kpiwarden.plans.detail import detail, detail_completeness, start_completeness
-from kpiwarden.plans.replay import replay, replay_by_day
+from kpiwarden.plans.replay import replay
 from kpiwarden.plans.score import alerts, score, score_all, score_completeness
 from kpiwarden.plans.seed import seed
 from kpiwarden.sources.store import DatedTable, publish_day, publish_range, retain_histories
@@ -19,5 +19,5 @@ from kpiwarden.sources.store import DatedTable, publish_day, publish_range, reta
 __all__ = [
     "COMPLETENESS", "COMPLETENESS_DETAIL", "PLAIN", "RATE", "RATE_TREND", "SIGMA", "TREND",
     "DatedTable", "Rule", "alerts", "detail", "detail_completeness", "publish_day", "publish_range", "replay",
-    "replay_by_day", "retain_histories", "score", "score_all", "score_completeness", "seed", "start_completeness",
+    "retain_histories", "score", "score_all", "score_completeness", "seed", "start_completeness",
 ]

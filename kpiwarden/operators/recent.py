@@ -47,14 +47,17 @@ def daily_totals(rows: DataFrame, value: str, by: Sequence[str] = KEYS) -> DataF
 
 
 def recent_days(totals: DataFrame, depth: int) -> DataFrame:
-    """Daily totals whose rows rank among the ``depth`` most recent, with ``rank``."""
-    later = (
-        Window.partitionBy(*SERIES)
-        .orderBy(F.desc("date"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    """Daily totals whose rows rank among the ``depth`` most recent, with ``rank``.
+
+    A date has at least one row, so no more than ``depth`` dates can rank. Tasks drop
+    the others before the shuffle.
+    """
+    latest_first = Window.partitionBy(*SERIES).orderBy(F.desc("date"))
+    latest = with_series_hash(totals).withColumn("place", F.row_number().over(latest_first))
+    later = latest_first.rowsBetween(Window.unboundedPreceding, -1)
     rank = F.coalesce(F.sum("rows").over(later), F.lit(0)) + 1
-    return with_series_hash(totals).withColumn("rank", rank).where(F.col("rank") <= depth)
+    latest = latest.where(F.col("place") <= depth).drop("place")
+    return latest.withColumn("rank", rank).where(F.col("rank") <= depth)
 
 
 def same_series(left: DataFrame, right: DataFrame, by: Sequence[str], prefix: str = "") -> Column:

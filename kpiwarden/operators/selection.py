@@ -7,6 +7,8 @@ shuffled forms below are ones whose hot keys adaptive execution can split.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +42,11 @@ def of_kpis(df: DataFrame, kpis: DataFrame) -> DataFrame:
     return df.join(kpis.select("kpi"), "kpi", "left_semi")
 
 
+def of_series(df: DataFrame, wanted: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows of the series that ``wanted`` has rows of; a key value that is missing matches nothing."""
+    return df.join(wanted.select(*by).distinct(), list(by), "left_semi")
+
+
 def misnamed_sites(sites: DataFrame) -> DataFrame:
     """Site rows whose location does not have six characters."""
     return sites.where(

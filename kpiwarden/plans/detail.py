@@ -67,10 +67,9 @@ def _sum_of(days: Column, amount) -> Column:
 
 
 def _on_requested_dates(source: DataFrame, requests: DataFrame) -> DataFrame:
-    """Source rows between the first and last requested date, found before the scan."""
-    first = requests.select(F.min("date")).scalar()
-    last = requests.select(F.max("date")).scalar()
-    return source.where((F.col("date") >= first) & (F.col("date") <= last))
+    """Source rows of the requested dates; these are looked up first, so that the scan is pruned to them."""
+    dates = [r["date"] for r in requests.select("date").distinct().where("date is not null").collect()]
+    return source.where(F.col("date").isin(dates) if dates else F.lit(False))
 
 
 def request_bands(
@@ -138,11 +137,11 @@ def request_bands(
 
 def series_exists(source: DataFrame, requests: DataFrame) -> DataFrame:
     """Each request with ``hasil`` 1 if the source has a row for it, else 0."""
-    there = source.select(*_BY).distinct().withColumn("hasil", F.lit(1))
+    wanted = requests.select(*_BY).distinct()
+    there = _on_requested_dates(source.select(*_BY), requests).join(wanted, _BY, "left_semi")
+    there = there.distinct().withColumn("hasil", F.lit(1))
     return (
-        requests.select(*_BY)
-        .distinct()
-        .join(there, _BY, "left")
+        wanted.join(there, _BY, "left")
         .select(*_BY, F.coalesce("hasil", F.lit(0)).alias("hasil"))
     )
 

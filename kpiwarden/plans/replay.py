@@ -1,30 +1,37 @@
-"""Score a range of days, each day's accepted rows feeding the next."""
+"""Score a range of days, each day's accepted rows feeding the next.
+
+Which rows of a day are accepted depends on the accepted rows of earlier days only. So
+the whole range is judged at once, by bands from the rows accepted in the round before;
+the first round takes every row that its value alone does not rule out. Each round
+settles at least one more day of every series, mostly far more, and a round that accepts
+the same rows as the one before has found the answer: it is the only one there can be.
+
+A round is a few joins, grouped sums and windows over one row per series and date. It
+never gathers a series, however many rows it has, and it is the same for all series.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date as Date
-from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiwarden.functions.dates import as_date, on_weekday_of, with_day_name
+from kpiwarden.functions.dates import as_date, with_day_name
 from kpiwarden.functions.rules import OK, Rule
-from kpiwarden.operators.bands import series_bands
-from kpiwarden.operators.judge import attach_band, judged
-from kpiwarden.operators.recent import SERIES, daily_totals, recent_days, recent_totals
-from kpiwarden.operators.selection import eligible, kpi_select, of_kpis
+from kpiwarden.operators.judge import attach_band, judged, status_of
+from kpiwarden.operators.recent import SERIES, recent_totals, with_series_hash
+from kpiwarden.operators.selection import eligible, kpi_select, of_kpis, of_series
 from kpiwarden.plans.score import accepted_before
 from kpiwarden.sources.schema import KEYS
-from kpiwarden.sources.scratch import scratch_path, stored
+from kpiwarden.sources.scratch import removed, stored
 
-_STATE = ("date", "rows", "filled", "total")
-_HISTORY = "array<struct<date:date,rows:bigint,filled:bigint,total:double>>"
+_DAY = ("rows", "filled", "total")
 
 
 def _inputs(observations, results, kpi_list, sites, category, rule, start, end, look_back):
-    """Rows to score, recent accepted totals before the range, and the series columns."""
+    """Rows to score, their recent accepted totals before the range, and the series columns."""
     kpis = kpi_select(kpi_list, category, rule)
     within = F.col("date").between(as_date(start), as_date(end))
     rows = eligible(observations.where(within), kpis, sites)
@@ -33,11 +40,12 @@ def _inputs(observations, results, kpi_list, sites, category, rule, start, end,
     if rule.by_weekday:
         rows, history = with_day_name(rows), with_day_name(history)
         by.append("day_name")
-    rows = rows.select("date", *by, rule.value)
+    rows = stored(rows.select("date", *by, rule.value), "replay-rows")
     prior = recent_totals(
-        history, rule.value, rule.depth, by, wanted=rows, before=start, look_back=look_back
+        of_series(history, rows, by), rule.value, rule.depth, by,
+        wanted=rows, before=start, look_back=look_back,
     )
-    return rows, prior.select(*SERIES, *_STATE), by
+    return rows, stored(prior.select("series", "date", *_DAY), "replay-prior"), by
 
 
 def replay(
@@ -51,189 +59,91 @@ def replay(
     start: str,
     end: str,
     look_back: int | None = None,
-    fold_rows: int = 10_000,
 ) -> DataFrame:
     """Result rows of all days from start to end, both included.
 
-    Results dated within the range are ignored; they are what gets replaced. Days
-    depend on each other within a series only. So a series with at most
-    ``fold_rows`` rows in the range is folded over its days in a single
-    expression, all series at once, and only larger ones go day by day.
+    Results dated within the range are ignored; they are what gets replaced. The rounds
+    run when this is called, and no more than the range has days plus one.
     """
     rows, prior, by = _inputs(
         observations, results, kpi_list, sites, category, rule, start, end, look_back
     )
-    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    large = stored(sizes.where(F.col("n") > fold_rows).select(*by), "large-series")
-    if large.isEmpty():
-        return judged(_fold(rows, prior, by, rule), rule)
-    same = None
-    for k in by:
-        equal = rows[k].eqNullSafe(large[k])
-        same = equal if same is None else same & equal
-    small_part = _fold(rows.join(large, same, "left_anti"), prior, by, rule)
-    large_part = _day_by_day(rows.join(large, same, "left_semi"), prior, by, rule, start, end)
-    return judged(small_part, rule).unionByName(large_part)
-
-
-def replay_by_day(
-    observations: DataFrame,
-    results: DataFrame,
-    kpi_list: DataFrame,
-    sites: DataFrame,
-    *,
-    category: str,
-    rule: Rule,
-    start: str,
-    end: str,
-    look_back: int | None = None,
+    accepted = rows.where(~rule.rejects(F.col(rule.value)))
+    days = Date.fromisoformat(end).toordinal() - Date.fromisoformat(start).toordinal() + 1
+    bands, before = None, None
+    for _ in range(max(days, 0) + 1):
+        last, bands = bands, stored(_bands(rows, accepted, prior, by, rule), "replay-bands")
+        settled = _accepted_mark(bands)
+        removed(last)
+        if settled == before:
+            break
+        before = settled
+        accepted = _banded(rows, bands, by, rule).where(status_of(rule) == OK)
+    return judged(_banded(rows, bands, by, rule), rule)
+
+
+def _bands(
+    rows: DataFrame, accepted: DataFrame, prior: DataFrame, by: Sequence[str], rule: Rule
 ) -> DataFrame:
-    """``replay`` as one pair of jobs per day; no limit on rows per series."""
-    rows, prior, by = _inputs(
-        observations, results, kpi_list, sites, category, rule, start, end, look_back
-    )
-    return _day_by_day(rows, prior, by, rule, start, end)
-
-
-def _with(value: Column, use) -> Column:
-    """Evaluate ``value`` once and hand it to ``use``."""
-    return F.transform(F.array(value), use)[0]
-
-
-def _mean(history: Column) -> Column:
-    filled = F.aggregate(history, F.lit(0).cast("bigint"), lambda acc, d: acc + d["filled"])
-    total = F.aggregate(
-        history, F.lit(0.0), lambda acc, d: acc + F.coalesce(d["total"], F.lit(0.0))
-    )
-    return F.try_divide(total, filled)
+    """Mean of the recent accepted rows before each date on which a series has rows.
 
-
-def _keep_recent(history: Column, depth: int) -> Column:
-    """Drop days, oldest first, with at least ``depth`` rows on later days."""
-
-    def later_rows(i: Column) -> Column:
-        later = F.slice(history, i + 2, F.size(history))
-        return F.aggregate(later, F.lit(0).cast("bigint"), lambda acc, d: acc + d["rows"])
-
-    return F.filter(history, lambda _, i: later_rows(i) < depth)
-
-
-def _fold(rows: DataFrame, prior: DataFrame, by: Sequence[str], rule: Rule) -> DataFrame:
-    """Rows with their bounds, from one pass over each series' days in order.
-
-    The state is the recent accepted history (at most ``depth`` days) and the mean
-    found for every day so far.
+    ``rows`` and ``mark`` tell which rows of the date itself were accepted.
     """
-    histories = (
-        prior.groupBy(*SERIES)
-        .agg(F.sort_array(F.collect_list(F.struct(*_STATE))).alias("history"))
-        .select("series.*", "history")
+    series = F.struct(*by).alias("series")
+    value = F.col(rule.value).cast("double")
+    fresh = accepted.groupBy(series, "date").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(value).alias("filled"),
+        F.sum(value).alias("total"),
+        F.bit_xor(F.xxhash64(value)).alias("mark"),
     )
-    # One exchange by series serves both groupings and the join.
+    asked = rows.select(series, "date").distinct().withColumn("asked", F.lit(True))
     days = (
-        rows.repartition(*by)
-        .groupBy(*by, "date")
-        .agg(F.collect_list(F.struct(F.col(rule.value).alias("value"))).alias("entries"))
-        .groupBy(*by)
-        .agg(F.sort_array(F.collect_list(F.struct("date", "entries"))).alias("days"))
-        .join(histories, list(by), "left")
-    )
-
-    def accepted_day(day: Column, mean: Column) -> Column:
-        lower, upper = rule.band(mean)
-        ok = F.filter(day["entries"], lambda e: rule.status(e["value"], lower, upper) == OK)
-        values = F.filter(F.transform(ok, lambda e: e["value"]), lambda v: v.isNotNull())
-        return F.struct(
-            day["date"].alias("date"),
-            F.size(ok).cast("bigint").alias("rows"),
-            F.size(values).cast("bigint").alias("filled"),
-            F.aggregate(
-                values, F.lit(0.0), lambda acc, v: acc + v.cast("double")
-            ).alias("total"),
+        prior.unionByName(fresh, allowMissingColumns=True)
+        .unionByName(asked, allowMissingColumns=True)
+        .groupBy("series", "date")
+        .agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+            F.sum("filled").alias("filled"),
+            F.sum("total").alias("total"),
+            F.max("mark").alias("mark"),
+            F.max("asked").alias("asked"),
         )
-
-    def step(state: Column, day: Column) -> Column:
-        def extend(mean: Column) -> Column:
-            return _with(
-                accepted_day(day, mean),
-                lambda today: F.struct(
-                    F.when(today["rows"] == 0, state["history"])
-                    .otherwise(
-                        _with(
-                            F.concat(state["history"], F.array(today)),
-                            lambda longer: _keep_recent(longer, rule.depth),
-                        )
-                    )
-                    .alias("history"),
-                    F.concat(state["means"], F.array(mean)).alias("means"),
-                ),
-            )
-
-        return _with(_mean(state["history"]), extend)
-
-    start_state = F.struct(
-        F.coalesce("history", F.array().cast(_HISTORY)).alias("history"),
-        F.array().cast("array<double>").alias("means"),
     )
-    # The outer forms of inline and explode keep Spark from testing the arrays for
-    # emptiness first, which would fold twice. They are never empty.
-    means = F.aggregate("days", start_state, step, lambda state: state["means"])
-    lower, upper = rule.band(F.col("rata"))
-    return (
-        days.select(*by, F.arrays_zip("days", means.alias("rata")).alias("zipped"))
-        .select(*by, F.inline_outer("zipped"))
-        .select(*by, "days.date", "rata", F.explode_outer("days.entries").alias("entry"))
-        .select(
-            "date",
-            *by,
-            F.col("entry.value").alias(rule.value),
-            upper.alias("b_atas"),
-            lower.alias("b_bawah"),
-            "rata",
-        )
+    by_date = Window.partitionBy(*SERIES).orderBy("date")
+    earlier = by_date.rowsBetween(Window.unboundedPreceding, -1)
+    days = with_series_hash(days).withColumns(
+        {
+            "position": F.coalesce(F.count(F.when(F.col("rows") > 0, 1)).over(earlier), F.lit(0)),
+            "rows_before": F.coalesce(F.sum("rows").over(earlier), F.lit(0)),
+        }
+    )
+    previous = Window.partitionBy(*SERIES).orderBy("position").rangeBetween(-rule.depth, -1)
+    day = F.struct("rows_before", *_DAY)
+    days = days.withColumn("days", F.collect_list(F.when(F.col("rows") > 0, day)).over(previous))
+    # Rows later than a day and before the date: fewer than depth, so it ranks.
+    ranked = F.filter(
+        "days", lambda d: F.col("rows_before") - d["rows_before"] - d["rows"] < rule.depth
     )
 
+    def summed(field: str, zero):
+        return F.aggregate(ranked, zero, lambda acc, d: acc + F.coalesce(d[field], zero))
 
-def _day_by_day(
-    rows: DataFrame, prior: DataFrame, by: Sequence[str], rule: Rule, start: str, end: str
-) -> DataFrame:
-    """Result rows, each day written to shared scratch tables before the next starts.
+    mean = F.try_divide(summed("total", F.lit(0.0)), summed("filled", F.lit(0).cast("bigint")))
+    return days.where("asked").select("series.*", "date", mean.alias("rata"), "rows", "mark")
 
-    Days read the tables, not the plans of earlier days, so the plan does not grow
-    and a lost executor costs no more than the running day.
-    """
-    spark = rows.sparkSession
-    scored_path = scratch_path(spark, "replay-scored")
-    state_path = scratch_path(spark, "replay-state")
-    prior = prior.drop("series_hash")
-    state_schema = prior.schema
-    day, step = Date.fromisoformat(start), 0
-    paths = [f"{state_path}/step=0"]
-    prior.write.parquet(paths[0])
-    scored_paths = []
-    while day <= Date.fromisoformat(end):
-        step += 1
-        state = spark.read.schema(state_schema).parquet(*paths)
-        if rule.by_weekday:
-            state = state.where(on_weekday_of(day))
-        totals = recent_days(_with_sigma_columns(state), rule.depth)
-        bands = series_bands(totals, rule)
-        today = rows.where(F.col("date") == as_date(day))
-        scored = judged(attach_band(today, bands, by), rule, *by[len(KEYS):])
-        scored_paths.append(f"{scored_path}/step={step}")
-        scored.write.parquet(scored_paths[-1])
-        written = spark.read.schema(scored.schema).parquet(scored_paths[-1])
-        accepted = daily_totals(written.where(F.col("status") == OK), rule.value, by)
-        paths.append(f"{state_path}/step={step}")
-        accepted.select("series", *_STATE).write.parquet(paths[-1])
-        day += timedelta(days=1)
-    if not scored_paths:
-        bands = series_bands(recent_days(_with_sigma_columns(prior), rule.depth), rule)
-        return judged(attach_band(rows, bands, by), rule)
-    return spark.read.schema(scored.schema).parquet(*scored_paths).drop(*by[len(KEYS):])
-
-
-def _with_sigma_columns(state: DataFrame) -> DataFrame:
-    """Daily totals without the columns that only a sigma rule needs."""
-    empty = F.lit(None).cast("double")
-    return state.withColumns({"low": empty, "high": empty, "spread": empty})
+
+def _banded(rows: DataFrame, bands: DataFrame, by: Sequence[str], rule: Rule) -> DataFrame:
+    lower, upper = rule.band(F.col("rata"))
+    means = bands.select(*by, "date", upper.alias("b_atas"), lower.alias("b_bawah"), "rata")
+    return attach_band(rows, means, [*by, "date"])
+
+
+def _accepted_mark(bands: DataFrame) -> tuple:
+    """Changes whenever the accepted rows do."""
+    mark = F.xxhash64(*bands.columns[:-3], "rows", "mark")
+    return tuple(
+        bands.agg(
+            F.sum("rows"), F.sum(mark.bitwiseAND(0xFFFFFFFF)), F.sum(F.shiftright(mark, 32))
+        ).first()
+    )

@@ -18,6 +18,7 @@ from kpiwarden.operators.selection import (
     kpi_select,
     not_in_bad_sites,
     of_kpis,
+    of_series,
     outside_bad_sites,
     with_complete_keys,
 )
@@ -41,8 +42,8 @@ def score(
 ) -> DataFrame:
     """Result rows of one day for one KPI class.
 
-    The history is not cleared of bad sites and incomplete keys: the keys are
-    part of the series, and such a series has no row today to join to.
+    Of the history only series with a row today are looked at. That also clears it of
+    bad sites and incomplete keys, as the keys are part of the series.
     """
     kpis = kpi_select(kpi_list, category, rule)
     today = eligible(observations.where(F.col("date") == as_date(day)), kpis, sites)
@@ -51,7 +52,8 @@ def score(
         today = with_day_name(today)
         history = history.where(on_weekday_of(day))
     days = recent_totals(
-        history, rule.value, rule.depth, wanted=today, before=day, look_back=look_back
+        of_series(history, today, KEYS),
+        rule.value, rule.depth, wanted=today, before=day, look_back=look_back,
     )
     rows = attach_band(today, series_bands(days, rule))
     return judged(rows, rule, *(["day_name"] if rule.by_weekday else []))
@@ -80,7 +82,8 @@ def score_all(
     # The four classes share depth and factors; only their rejected values differ.
     shared = CLASS_RULES[0]
     days = recent_totals(
-        history, shared.value, shared.depth, by, wanted=today, before=day, look_back=look_back
+        of_series(history, today, by),
+        shared.value, shared.depth, by, wanted=today, before=day, look_back=look_back,
     )
     rows = attach_band(today, series_bands(days, shared), by)
     status = reduce(
@@ -113,7 +116,7 @@ def score_completeness(
     today = row_counts.where(F.col("date") == as_date(day))
     today = not_in_bad_sites(today, row_counts if sites is None else sites)
     days = recent_totals(
-        accepted_before(results, day),
+        of_series(accepted_before(results, day), today, KEYS),
         rule.value,
         rule.depth,
         wanted=today,

@@ -4,20 +4,31 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Set to true where a local or file: path is a mount that all executors share.
+SHARED = "spark.kpiwarden.scratch.shared"
+
+
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new, unused path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master, where driver and executors share one disk, may run
-    without that setting; it then gets a temporary folder.
+    Only with a local master, where driver and executors share one disk, may the setting
+    be missing (the path is then in a temporary folder) or name a local folder. Elsewhere
+    a local folder is refused unless ``SHARED`` says that it is a common mount.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
+        if not base:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        root = spark.sparkContext.getConf().get("spark.hadoop.fs.defaultFS", "file:///")
+        scheme = urlsplit(base).scheme or urlsplit(root).scheme
+        if scheme == "file" and spark.conf.get(SHARED, "false").lower() != "true":
+            raise ValueError(f"{base} is a local folder; if all executors share it, set {SHARED}")
+    if not base:
         base = tempfile.mkdtemp(prefix="kpiwarden-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
@@ -29,4 +40,14 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found._scratch_path = path
+    return found
+
+
+def removed(df: DataFrame | None) -> None:
+    """Delete what ``stored`` wrote, once nothing can read it any more."""
+    if df is not None:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

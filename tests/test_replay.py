@@ -1,12 +1,12 @@
-"""The fold, the day loop and their mix equal a plain simulation."""
+"""Replays equal a plain simulation, day by day."""
 
 import random
 from datetime import date, timedelta
 
 import pytest
 
-from kpiwarden.functions.rules import CLASS_RULES, PLAIN
-from kpiwarden.plans.replay import replay, replay_by_day
+from kpiwarden.functions.rules import CLASS_RULES
+from kpiwarden.plans.replay import replay
 
 START = date(2024, 1, 1)
 
@@ -38,7 +38,7 @@ def simulate(rule, history, rows, first, last):
     return out
 
 
-def random_case(make, rule, seed):
+def random_case(make, rule, seed, per_day=(0, 1, 1, 2, 4), step=1.0):
     rng = random.Random(seed)
     keys = [make.key(f"S{i:05d}", vendor=None if i == 0 else "V") for i in range(4)]
     history, rows = [], []
@@ -46,8 +46,8 @@ def random_case(make, rule, seed):
         level = rng.choice([50, 80])
         for n in range(90):
             day = START + timedelta(days=n)
-            for _ in range(rng.choice([0, 1, 1, 2, 4])):
-                value = float(level + rng.randint(-8, 8))
+            for _ in range(rng.choice(per_day)):
+                value = level + rng.randint(-8, 8) * step
                 value = rng.choice([value] * 20 + [None, 0.0, -3.0, 105.0])
                 rows.append((day, key, value))
                 if n < 40 or rng.random() < 0.1:
@@ -56,9 +56,14 @@ def random_case(make, rule, seed):
     return history, rows
 
 
+@pytest.mark.parametrize("step", [1.0, 0.625, 0.1])
 @pytest.mark.parametrize("rule", CLASS_RULES, ids=lambda r: r.name)
-def test_replay_equals_simulation(make, rule):
-    history, rows = random_case(make, rule, seed=len(rule.name))
+def test_replay_equals_simulation(make, rule, step):
+    history, rows = random_case(make, rule, seed=len(rule.name), step=step)
+    if step == 1.0:  # one series with most of the rows
+        key = make.key("S00009")
+        rows += [(START + timedelta(days=n), key, 50.0 + i % 11) for n in range(90) for i in range(60)]
+        history += [(START + timedelta(days=n), key, 52.0, "ok") for n in range(50)]
     first, last = START + timedelta(days=60), START + timedelta(days=75)
     expected = simulate(rule, history, rows, first, last)
     tables = (
@@ -84,13 +89,4 @@ def test_replay_equals_simulation(make, rule):
     want = bag(expected)
     assert any("'ok'" in w for w in want)
     assert collected(replay(*tables, **options)) == want
-    if rule.rate_status == "N":
-        assert collected(replay_by_day(*tables, **options)) == want
-    if rule is PLAIN:
-        sizes = {}
-        for d, k, _ in rows:
-            if first <= d <= last:
-                sizes[k] = sizes.get(k, 0) + 1
-        some_large = sorted(sizes.values())[1]
-        assert collected(replay(*tables, **options, fold_rows=some_large)) == want
-        assert collected(replay(*tables, **options, look_back=20)) == want
+    assert collected(replay(*tables, **options, look_back=20)) == want
