@@ -18,7 +18,8 @@ not similar, so nothing is lost. Sets that share one are candidates.
 How candidates become links without going through all pairs of a group:
 
 1. Equal sets are one node, whatever the number of documents.
-2. The nodes of a signature are compared with one of them. What links is joined to components.
+2. The nodes of a signature are compared with the least and the greatest of them. What links
+   is joined to components.
 3. Signatures whose nodes lie in several components are taken up again, in blocks of
    bounded size: pairs of different components that are not ruled out by size and by
    the parities of their features (a lower bound of how many features differ).
@@ -319,13 +320,31 @@ def _links(source: DataFrame, nodes: DataFrame, shingle: int, similarity: Fracti
     shared = signatures.select(
         "sig", "node", F.min("node").over(same).alias("hub"), F.max("node").over(same).alias("other")
     )
-    shared = stored(shared.where("hub != other").drop("other"), "shared")
-    hubs = shared.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    hubs = stored(hubs, "hubs")
+    shared = stored(shared.where("hub != other"), "shared")
     texts = _texts(source, nodes, shared, shingle)
-    edges = stored(_verified(hubs, texts, shingle, similarity), "edges")
-    crossing = stored(_crossing(shared, texts, edges, similarity).join(hubs, ["a", "b"], "left_anti"), "crossing")
-    return edges.unionByName(_verified(crossing, texts, shingle, similarity))
+    tested = stored(_pairs(shared, "hub").union(_pairs(shared, "other")).distinct(), "hubs")
+    edges = stored(_verified(tested, texts, shingle, similarity), "edges")
+    crossing = _crossing(_apart(shared, edges), texts, similarity).join(tested, ["a", "b"], "left_anti")
+    return edges.union(_verified(stored(crossing, "crossing"), texts, shingle, similarity))
+
+
+def _pairs(rows: DataFrame, hub: str) -> DataFrame:
+    ends = F.least("node", hub).alias("a"), F.greatest("node", hub).alias("b")
+    return rows.where(F.col("node") != F.col(hub)).select(*ends)
+
+
+def _apart(shared: DataFrame, edges: DataFrame) -> DataFrame:
+    """``sig, node, root``: signatures whose nodes, hubs aside, lie in several components.
+
+    Pairs with the signature's hubs have been verified.
+    """
+    shared = shared.where("node != hub and node != other").select("sig", "node")
+    roots = components(edges).select(F.col("node").alias("member"), "root")
+    rows = shared.join(roots, shared["node"] == roots["member"], "left")
+    rows = rows.select("sig", "node", F.coalesce("root", "node").alias("root"))
+    same = Window.partitionBy("sig")
+    rows = rows.withColumns({"low": F.min("root").over(same), "high": F.max("root").over(same)})
+    return rows.where("low != high").select("sig", "node", "root")
 
 
 def _texts(source: DataFrame, nodes: DataFrame, shared: DataFrame, shingle: int) -> DataFrame:
@@ -343,24 +362,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: Frac
     return both.mapInArrow(_verify(shingle, similarity), "a long, b long")
 
 
-def _crossing(shared: DataFrame, texts: DataFrame, edges: DataFrame, similarity: Fraction) -> DataFrame:
-    """Pairs of a signature that lie in different components and may be similar.
-
-    Pairs with the signature's hub have been verified.
-    """
-    shared = shared.where("node != hub").drop("hub")
-    roots = components(edges).select(F.col("node").alias("member"), "root")
-    rows = shared.join(roots, shared["node"] == roots["member"], "left")
-    rows = rows.select("sig", "node", F.coalesce("root", "node").alias("root"))
+def _crossing(rows: DataFrame, texts: DataFrame, similarity: Fraction) -> DataFrame:
+    """Pairs of a signature that lie in different components and may be similar."""
     same = Window.partitionBy("sig")
     rows = rows.withColumns(
-        {
-            "low": F.min("root").over(same),
-            "high": F.max("root").over(same),
-            "size": F.count("*").over(same),
-            "held": F.bit_xor(F.xxhash64("node")).over(same),
-        }
-    ).where("low != high")
+        {"size": F.count("*").over(same), "held": F.bit_xor(F.xxhash64("node")).over(same)}
+    )
     # signatures of the same nodes are one; should two others fall together, only more pairs are looked at
     rows = rows.select(F.col("held").alias("sig"), "size", "node", "root").distinct()
     about = texts.select(F.col("node").alias("id"), "n", "bits")
