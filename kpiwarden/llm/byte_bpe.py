@@ -23,9 +23,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from kpiwarden.llm.remembered import Remembered
 from kpiwarden.llm.words import columns, prepare, slices
 
-REMEMBERED = 200_000  # pieces of text in each of two generations, and so for each of two places
 _SHIFT = 8  # the bitmap's words have 256 bits, so two levels hold all ranks
 _MASK = (1 << _SHIFT) - 1
 _CODECS: dict = {}
@@ -33,24 +33,6 @@ _CODECS: dict = {}
 _WIDE = re.compile(r"\s\s|[^\S \n]")
 
 
-class _Remembered(dict):
-    """Values by key, computed when missing; the older half goes when there are too many."""
-
-    def __init__(self, compute):
-        super().__init__()
-        self._compute, self._older = compute, {}
-
-    def __missing__(self, key):
-        value = self._older.get(key)
-        if value is None:
-            value = self._compute(key)
-        if len(self) >= REMEMBERED:
-            self._older = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-
 class ByteBpe:
     """Encoder and decoder for ranks of byte strings and a pattern of pre-tokens."""
 
@@ -61,9 +43,9 @@ class ByteBpe:
             self.tokens[rank] = token
         self._pattern = regex.compile(pattern)
         self._words = [0] * ((len(self.tokens) >> _SHIFT) + 1)  # all zero between pre-tokens
-        self._pre_tokens = _Remembered(lambda x: np.asarray(self.merge(x.encode()), "<u4").tobytes())
-        self._first = _Remembered(self._piece)
-        self._after_space = _Remembered(lambda x: self._piece(" " + x))
+        self._pre_tokens = Remembered(lambda x: np.asarray(self.merge(x.encode()), "<u4").tobytes())
+        self._first = Remembered(self._piece)
+        self._after_space = Remembered(lambda x: self._piece(" " + x))
 
     @classmethod
     def load(cls, path: str, pattern: str) -> ByteBpe:
@@ -80,25 +62,35 @@ class ByteBpe:
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         waiting = [known(data[i : i + 2]) for i in range(n - 1)]  # rank of the pair that begins at a position
         waiting.append(None)
-        # the queue: positions by rank, words of the bitmap over ranks, and the bitmap over those
-        buckets: dict[int, list[int]] = {}
+        # the queue: a position or a heap of them by rank, words of the bitmap over ranks, and
+        # the bitmap over those
+        buckets: dict[int, int | list[int]] = {}
         words, top = self._words, 0
+
+        def push(rank: int, i: int) -> None:
+            nonlocal top
+            held = buckets.get(rank)
+            if held is None:
+                buckets[rank] = i
+                words[rank >> _SHIFT] |= 1 << (rank & _MASK)
+                top |= 1 << (rank >> _SHIFT)
+            elif type(held) is int:
+                buckets[rank] = [held, i] if held < i else [i, held]
+            else:
+                heappush(held, i)
+
         for i, rank in enumerate(waiting):
             if rank is not None:
-                if rank in buckets:
-                    buckets[rank].append(i)  # ascending, so a heap
-                else:
-                    buckets[rank] = [i]
-                    words[rank >> _SHIFT] |= 1 << (rank & _MASK)
-                    top |= 1 << (rank >> _SHIFT)
+                push(rank, i)
         while top:
             at = (top & -top).bit_length() - 1
             word = words[at]
             low = word & -word
             rank = (at << _SHIFT) + low.bit_length() - 1
-            bucket = buckets[rank]
-            i = heappop(bucket)
-            if not bucket:
+            i = held = buckets[rank]
+            if type(held) is list:
+                i = heappop(held)
+            if held is i or not held:
                 del buckets[rank]
                 words[at] = word = word ^ low
                 if not word:
@@ -107,25 +99,17 @@ class ByteBpe:
                 continue  # the pair has changed since
             gone = after[i]
             end = after[i] = after[gone]
-            waiting[gone] = None
-            left = before[i]
+            waiting[gone] = waiting[i] = None
             if end < n:
                 before[end] = i
-                changed = ((i, known(data[i : after[end]])),)
-            else:
-                changed = ((i, None),)
+                new = waiting[i] = known(data[i : after[end]])
+                if new is not None:
+                    push(new, i)
+            left = before[i]
             if left >= 0:
-                changed += ((left, known(data[left:end])),)
-            for j, new in changed:
-                waiting[j] = new
-                if new is None:
-                    continue
-                if new in buckets:
-                    heappush(buckets[new], j)
-                else:
-                    buckets[new] = [j]
-                    words[new >> _SHIFT] |= 1 << (new & _MASK)
-                    top |= 1 << (new >> _SHIFT)
+                new = waiting[left] = known(data[left:end])
+                if new is not None:
+                    push(new, left)
         out, i = [], 0
         while i < n:
             out.append(ranks[data[i : after[i]]])
@@ -193,25 +177,28 @@ def decoded(rows: DataFrame, path: str, pattern: str) -> DataFrame:
 def round_trip_report(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row.
 
-    Hashes are of the ids in decimal, joined by single spaces, and of the decoded bytes.
-    A null or empty text has no tokens. Rows that repeat are reported each.
+    Hashes are of the ids in decimal, joined by single spaces, and of the bytes they decode
+    to. A null or empty text has no tokens. Rows that repeat are reported each. One pass
+    does it all, so that ids do not travel between Python workers.
     """
+    prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decimal = [str(i) for i in range(len(codec(path, pattern).tokens))]
-        for part, ids in slices(batches, "ids"):
-            numbers = [np.frombuffer(x, "<u4").tolist() for x in ids]
-            texts = [" ".join(map(decimal.__getitem__, x)).encode() for x in numbers]
-            data = part.column("bytes").to_pylist()
+        own = codec(path, pattern)
+        decimal = [str(i) for i in range(len(own.tokens))]
+        for part, texts in slices(batches, "text"):
+            rows = []
+            for text in texts:
+                ids = own.encode((text or b"").decode())
+                numbers = np.frombuffer(ids, "<u4").tolist()
+                listed = " ".join(map(decimal.__getitem__, numbers)).encode()
+                hashes = (hashlib.sha256(x).hexdigest() for x in (listed, own.decode(ids)))
+                rows.append((len(numbers), *hashes))
+            n, first, second = zip(*rows)
             yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    pa.array([len(x) for x in numbers], pa.int64()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()),
-                    pa.array([hashlib.sha256(x).hexdigest() for x in data], pa.string()),
-                ],
+                [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(first), pa.array(second)],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    rows = decoded(encoded(docs, path, pattern), path, pattern)
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    source = columns(docs, doc_id="doc_id", text="text")
+    return source.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
