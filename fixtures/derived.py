@@ -6,7 +6,8 @@ are whole numbers, so that sums do not depend on their order. ``oracle.py`` hold
 the same definitions in SQL; see FIXTURES.md for the cases.
 
 The library works on stored tables, so the derived rows are written once per
-application and folder to the scratch folder, partitioned by date.
+application and folder to the scratch folder, sorted by date; the look-back queries read
+a copy that is partitioned by date, as the library's own tables are.
 """
 
 from __future__ import annotations
@@ -84,23 +85,26 @@ def _per_metric(df: DataFrame) -> DataFrame:
 _stored: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, make, by_date: bool = False) -> DataFrame:
-    """What ``make`` derives, stored by the first call of this application and read from there.
-
-    Dated tables have a folder per date, as the library's own have. Folders are listed once.
-    """
+def _once(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
+    """What ``make`` derives, stored by the first call of this application and read from there."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
         path = scratch_path(spark, name)
-        rows = make(spark, sf_dir)
-        writer = rows.repartition("date").write.partitionBy("date") if by_date else rows.write
-        writer.parquet(path)
-        _stored[key] = spark.read.schema(rows.schema).parquet(path)
+        make(spark, sf_dir).write.parquet(path)
+        _stored[key] = spark.read.parquet(path)
     return _stored[key]
 
 
-def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once(spark, sf_dir, "derived", _derive, by_date=True)
+def _raw(spark: SparkSession, sf_dir: str, by_date: bool = False) -> DataFrame:
+    """The derived rows in few files, sorted by date; or with a folder per date, as the library's own tables."""
+    if not by_date:
+        return _once(spark, sf_dir, "derived", _derive)
+    key = (spark.sparkContext.applicationId, sf_dir, "by-date")
+    if key not in _stored:
+        path, rows = scratch_path(spark, "by-date"), _raw(spark, sf_dir)
+        rows.repartition("date").write.partitionBy("date").parquet(path)
+        _stored[key] = spark.read.schema(rows.schema).parquet(path)
+    return _stored[key]
 
 
 def _derive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,18 +164,18 @@ def _derive(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
         "row_count",
     )
-    return sites.unionByName(national)
+    return sites.unionByName(national).sortWithinPartitions("date", "kpi")
 
 
 _KEY_COLUMNS = ("date", "kpi", "granularity", "node", "vendor", "level", "location")
 
 
-def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _raw(spark, sf_dir).select(*_KEY_COLUMNS, "value")
+def observations(spark: SparkSession, sf_dir: str, by_date: bool = False) -> DataFrame:
+    return _raw(spark, sf_dir, by_date).select(*_KEY_COLUMNS, "value")
 
 
-def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _raw(spark, sf_dir).select(*_KEY_COLUMNS, "row_count")
+def row_counts(spark: SparkSession, sf_dir: str, by_date: bool = False) -> DataFrame:
+    return _raw(spark, sf_dir, by_date).select(*_KEY_COLUMNS, "row_count")
 
 
 def _twice_loaded(df: DataFrame) -> DataFrame:
@@ -180,7 +184,7 @@ def _twice_loaded(df: DataFrame) -> DataFrame:
     )
 
 
-def results(spark: SparkSession, sf_dir: str) -> DataFrame:
+def results(spark: SparkSession, sf_dir: str, by_date: bool = False) -> DataFrame:
     """Anomaly results of all dates, as earlier runs might have left them."""
     value = F.col("value")
     usable = (
@@ -189,7 +193,7 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
         & (~F.col("metric").isin("disc", "line") | (value <= 100))
         & ((_k("s") != 8) | (F.col("date") >= F.lit(NEW_SITE_FROM).cast("date")))
     )
-    return _twice_loaded(_raw(spark, sf_dir)).select(
+    return _twice_loaded(_raw(spark, sf_dir, by_date)).select(
         *_KEY_COLUMNS,
         "value",
         (value + 10).alias("b_atas"),
@@ -199,14 +203,14 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def completeness_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+def completeness_results(spark: SparkSession, sf_dir: str, by_date: bool = False) -> DataFrame:
     """Completeness results of all dates, as earlier runs might have left them."""
     count = F.col("row_count")
     usable = (count % 7 != 2) & (
         (_k("s") != 8) | (F.col("date") >= F.lit(NEW_SITE_FROM).cast("date"))
     )
     bound = count.cast("double")
-    return _twice_loaded(_raw(spark, sf_dir)).select(
+    return _twice_loaded(_raw(spark, sf_dir, by_date)).select(
         *_KEY_COLUMNS,
         "row_count",
         (bound + 10).alias("b_atas"),

@@ -71,9 +71,12 @@ def counted(df: DataFrame, *by: str, value: str = "value") -> DataFrame:
 class Tables:
     """The derived tables of one folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self._make = lambda name: getattr(derived, name)(spark, sf_dir)
+    def __init__(self, spark: SparkSession, sf_dir: str, by_date: bool = False):
+        self.spark, self.sf_dir = spark, sf_dir
+        dated = ("observations", "row_counts", "results", "completeness_results")
+        self._make = lambda name: getattr(derived, name)(
+            spark, sf_dir, *([True] if by_date and name in dated else [])
+        )
 
     def __getattr__(self, name: str) -> DataFrame:
         return self._make(name)
@@ -83,6 +86,10 @@ class Tables:
         return self.observations, self.results, self.kpi_list, self.site_master
 
 
+def _by_date(t: Tables) -> Tables:
+    return Tables(t.spark, t.sf_dir, by_date=True)
+
+
 def _seed(t: Tables, rule: Rule, look_back: int | None = None) -> DataFrame:
     return seed(
         t.observations, t.kpi_list, t.site_master,
@@ -318,9 +325,9 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "replace_date": _replace_date,
     "replace_series": _replace_series,
     "retention_history": _retention,
-    "score_all_look_back": partial(_score_all, look_back=LOOK_BACK),
-    "completeness_look_back": partial(_completeness, look_back=LOOK_BACK),
-    "seed_look_back": partial(_seed, rule=PLAIN, look_back=LOOK_BACK),
+    "score_all_look_back": lambda t: _score_all(_by_date(t), LOOK_BACK),
+    "completeness_look_back": lambda t: _completeness(_by_date(t), LOOK_BACK),
+    "seed_look_back": lambda t: _seed(_by_date(t), PLAIN, LOOK_BACK),
     "stored_slice": _stored_slice,
     "stored_reseed": _stored_reseed,
     "stored_date": _stored_date,

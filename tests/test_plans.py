@@ -67,7 +67,8 @@ def test_no_python_and_no_cross_product(spark, name):
 def test_nothing_is_broadcast_against_the_threshold(spark, conf):
     conf(SHUFFLED)
     for name in ("score_all", "completeness_score", "detail_anomaly", "seed_plain", "site_not_in"):
-        assert "Broadcast" not in plan(entry_module.queries()[name](spark, SF_DIR)), name
+        text = plan(entry_module.queries()[name](spark, SF_DIR))
+        assert not re.search("Broadcast(Exchange|HashJoin|NestedLoopJoin)", text), name
 
 
 def test_rows_are_summed_before_any_shuffle(make):
@@ -80,6 +81,20 @@ def test_rows_are_summed_before_any_shuffle(make):
     assert "spread" not in text and "partial_var_pop" not in text
 
 
+def test_old_dates_are_dropped_before_the_second_shuffle(make):
+    text = plan(recent_days(daily_totals(make.observations([]), "value"), 7))
+    limits = [m.start() for m in re.finditer("WindowGroupLimit", text)]
+    shuffles = [m.start() for m in re.finditer("Exchange hashpartitioning", text)]
+    assert len(shuffles) == 2 and limits and shuffles[0] < limits[-1] < shuffles[1]
+
+
+@pytest.mark.parametrize("name", ["score_all_look_back", "completeness_look_back", "seed_look_back"])
+def test_registered_queries_prune_partitions(spark, conf, name):
+    conf({"spark.sql.maxMetadataStringLength": "4000"})
+    text = plan(entry_module.queries()[name](spark, SF_DIR))
+    assert re.search(r"PartitionFilters: \[[^\]]*date#\d+ (IN|=|<|>)|PartitionFilters: \[[^\]]*(IN|isnotnull)\(?.*?date", text)
+
+
 def test_dates_prune_partitions(make, stored, conf):
     conf({"spark.sql.maxMetadataStringLength": "2000"})
     observations, results = stored
