@@ -104,6 +104,11 @@ def _successors(keys: DataFrame) -> DataFrame:
     )
 
 
+def _plain_key(name: str) -> tuple[Column, Column]:
+    """An id that may be null as two columns that are not, for joins on plain equality."""
+    return F.coalesce(name, F.lit(0)).alias(f"{name}_"), F.col(name).isNull().alias(f"{name}_none")
+
+
 def fingerprint_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
     """Every document's fingerprint, that of its edited text, and how alike they are.
 
@@ -119,17 +124,21 @@ def fingerprint_report(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.count(F.lit(1)).alias("copies"), F.max(F.char_length("text")).alias("n_chars")
     )
     order = _successors(keys)
-    same = rows["doc_id"].eqNullSafe(order["id"]) & (rows["tag"] == order["mark"])
-    known = rows.join(order, same).dropDuplicates(["id", "mark"])
-    own = known.select("doc_id", "tag", "text", "copies")
-    own = own.withColumn("print", fingerprint(F.col("text"), k))
+    order = order.select(*_plain_key("id"), "mark", *_plain_key("asked_id"), "asked_tag", "asked", "copies")
+    # One exchange of texts by plain keys serves the join, the removal of repeats and the second join.
+    rows = rows.select(*_plain_key("doc_id"), "doc_id", "tag", "text")
+    same = (rows["doc_id_"] == order["id_"]) & (rows["doc_id_none"] == order["id_none"]) & (rows["tag"] == order["mark"])
+    known = rows.join(order, same).dropDuplicates(["doc_id_", "doc_id_none", "tag"])
+    own = known.select("doc_id_", "doc_id_none", "tag", "doc_id", "text", "copies")
     lent = known.select(
-        F.col("asked_id").alias("to_id"),
+        F.col("asked_id_").alias("to_"),
+        F.col("asked_id_none").alias("to_none"),
         F.col("asked_tag").alias("to_tag"),
         F.substring("text", F.lit(1), F.col("asked")).alias("lent"),
         fingerprint(F.col("text"), k).alias("next_print"),
     )
-    joined = own.join(lent, own["doc_id"].eqNullSafe(lent["to_id"]) & (own["tag"] == lent["to_tag"]))
+    asks = (own["doc_id_"] == lent["to_"]) & (own["doc_id_none"] == lent["to_none"]) & (own["tag"] == lent["to_tag"])
+    joined = own.join(lent, asks).withColumn("print", fingerprint(F.col("text"), k))
     n = F.char_length("text")
     edited = F.concat(F.substring("text", F.lit(1), (n - F.floor(n / 3)).cast("int")), "lent")
     out = joined.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "print", "next_print", "copies")
