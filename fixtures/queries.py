@@ -208,7 +208,8 @@ def _replace_series(t: Tables) -> DataFrame:
 
 
 def _stored_table(t: Tables, rows: DataFrame, name: str = "table") -> DatedTable:
-    """The rows as a stored table."""
+    """The rows as a stored table. Its thousands of small folders are listed by few tasks, not by one task each."""
+    t.spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", "16")
     table = DatedTable(t.spark, scratch_path(t.spark, name), rows.schema)
     table.append(rows)
     return table

@@ -126,10 +126,11 @@ def fingerprint_report(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     order = _successors(keys)
     order = order.select(*_plain_key("id"), "mark", *_plain_key("asked_id"), "asked_tag", "asked", "copies")
     # One exchange of texts by plain keys serves the join, the removal of repeats and the second join.
-    rows = rows.select(*_plain_key("doc_id"), "doc_id", "tag", "text")
+    rows = rows.select(*_plain_key("doc_id"), "tag", "text")
     same = (rows["doc_id_"] == order["id_"]) & (rows["doc_id_none"] == order["id_none"]) & (rows["tag"] == order["mark"])
     known = rows.join(order, same).dropDuplicates(["doc_id_", "doc_id_none", "tag"])
-    own = known.select("doc_id_", "doc_id_none", "tag", "doc_id", "text", "copies")
+    doc_id = F.when(~F.col("doc_id_none"), F.col("doc_id_")).alias("doc_id")
+    own = known.select("doc_id_", "doc_id_none", "tag", doc_id, "text", "copies")
     lent = known.select(
         F.col("asked_id_").alias("to_"),
         F.col("asked_id_none").alias("to_none"),
