@@ -29,8 +29,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the boilerplate lines of their source."""
-    return _counted(drop_boilerplate(docs, "text", "source"))
+    """Texts without the boilerplate lines of their source; copies, which are still there, count once."""
+    return _counted(drop_boilerplate(docs, "text", "source", copies_once=True))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,11 +27,15 @@ def _line_hashes(text: Column) -> Column:
     return F.array_distinct(F.transform(F.filter(lines, lambda x: x != ""), lambda x: F.xxhash64(x)))
 
 
-def boilerplate(docs: DataFrame, text: Column, site: Column, ratio: float, min_pages: int) -> DataFrame:
+def boilerplate(
+    docs: DataFrame, text: Column, site: Column, ratio: float, min_pages: int, copies_once: bool = False
+) -> DataFrame:
     """``site, hashes``: hashes of the lines (trimmed of spaces) that exceed the ratio on their site."""
     pages = docs.select(site.alias("site"), text.alias("text"))
+    lines = pages.select("site", F.xxhash64("text").alias("page"), F.explode(_line_hashes(F.col("text"))).alias("hash"))
+    if copies_once:
+        pages, lines = pages.select("site", F.xxhash64("text").alias("page")).distinct(), lines.distinct()
     total = pages.groupBy("site").agg(F.count(F.lit(1)).alias("pages"))
-    lines = pages.select("site", F.explode(_line_hashes(F.col("text"))).alias("hash"))
     counts = lines.groupBy("site", "hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_pages)
     total = total.select(F.col("site").alias("of"), "pages")
     over = counts.join(total, counts["site"].eqNullSafe(total["of"])).where(F.col("n") > ratio * F.col("pages"))
@@ -44,6 +48,7 @@ def drop_boilerplate(
     site: Column | str = "source",
     ratio: float = RATIO,
     min_pages: int = MIN_PAGES,
+    copies_once: bool = False,
 ) -> DataFrame:
     """``docs`` with boilerplate lines taken out of the text; every row and other column stays.
 
@@ -52,11 +57,15 @@ def drop_boilerplate(
     the site's pages, and at least ``min_pages``, hold it. Blank lines are never
     boilerplate. Rows that repeat count as pages each. A null text stays null; pages
     without a site are one site together.
+
+    With ``copies_once``, rows of a site with equal texts are one page, and no text is
+    lost for having many near copies: a page of boilerplate alone stays as it is, and of
+    those that lose the same lines and more than half of their text, one does.
     """
     site = F.col(site) if isinstance(site, str) else site
-    names = _free_names(docs, 3)
-    of, hashes, key = names
-    lists = boilerplate(docs, F.col(text_col), site, ratio, min_pages)
+    names = _free_names(docs, 6)
+    of, hashes, key, page, whole_of, whole = names
+    lists = boilerplate(docs, F.col(text_col), site, ratio, min_pages, copies_once)
     lists = lists.select(F.col("site").alias(of), F.col("hashes").alias(hashes))
     rows = docs.withColumn(key, site)
     joined = rows.join(lists, rows[key].eqNullSafe(lists[of]), "left")
@@ -64,9 +73,28 @@ def drop_boilerplate(
         F.split(F.col(text_col), "\n"), lambda x: ~F.array_contains(F.col(hashes), F.xxhash64(F.trim(x)))
     )
     text = F.when(F.col(hashes).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    if copies_once:
+        joined = joined.withColumn(page, F.xxhash64(text_col))
+        kept_whole = _one_of_each_loss(joined, F.col(text_col), text, key, hashes, page)
+        kept_whole = kept_whole.select(F.col("site").alias(whole_of), F.col("page").alias(whole))
+        same = (joined[page] == kept_whole[whole]) & joined[key].eqNullSafe(kept_whole[whole_of])
+        joined = joined.join(kept_whole, same, "left")
+        blank = F.forall(kept, lambda x: F.trim(x) == "")
+        text = F.when(F.col(whole).isNotNull() | blank, F.col(text_col)).otherwise(text)
     return joined.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
 
 
+def _one_of_each_loss(rows: DataFrame, text: Column, left: Column, site: str, hashes: str, page: str) -> DataFrame:
+    """``site, page``: of the pages that lose the same lines and more than half of their text, one for each loss."""
+    lost = F.array_intersect(_line_hashes(text), F.col(hashes))
+    mostly = F.col(hashes).isNotNull() & (2 * F.char_length(left) < F.char_length(text))
+    found = rows.where(mostly).select(
+        F.col(site).alias("site"), F.xxhash64(F.array_sort(lost)).alias("lost"), F.col(page).alias("page")
+    )
+    found = found.groupBy("site", "lost").agg(F.min("page").alias("page"))
+    return stored(found.select("site", "page").distinct(), "whole")
+
+
 def _free_names(df: DataFrame, n: int) -> list[str]:
     """Column names that ``df`` does not have, whatever their case."""
     taken = {c.lower() for c in df.columns}

@@ -67,6 +67,25 @@ def test_odd_documents_pass_all_stages(spark, tmp_path):
         assert ids == (set() if empty else {1, 2, 3, None, 5})
 
 
+def test_copies_over_the_ratio_keep_one_document(spark, tmp_path):
+    prose = lambda i, n: " ".join(f"w{i}x{k}" for k in range(n))
+    page = [prose(f"near{k}", 12) for k in range(40)]
+    near = [[prose(f"edit{k}", 12) if j == k else x for j, x in enumerate(page)] for k in range(10)]
+    exact = "\n".join(prose(f"copy{k}", 9) for k in range(4))
+    blank = "\n".join(prose(f"blank{k}", 9) for k in range(4))
+    rows = [(k, exact) for k in range(8)] + [(10 + k, "\n".join(x)) for k, x in enumerate(near)]
+    rows += [(30 + k, blank + "\n" * k) for k in range(8)]
+    rows += [(100 + k, f"the menu\n{prose(k, 15)}") for k in range(40)]
+    docs = plain.documents(spark, rows)
+    after = corpus_pipeline.lines(spark, docs, str(tmp_path))
+    after = corpus_pipeline.near_duplicates(spark, stored(after, "lines"), str(tmp_path))
+    texts = {r["doc_id"]: r["text"] for r in after.collect()}
+    assert [k for k in texts if k < 10] == [0] and texts[0] == exact
+    assert [k for k in texts if 10 <= k < 30] == [10] and texts[10] == "\n".join(near[0])
+    assert [k for k in texts if 30 <= k < 100] == [30] and texts[30] == blank
+    assert {texts[100 + k] for k in range(40)} == {prose(k, 15) for k in range(40)}
+
+
 def test_run_equals_its_stages(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and len({(r["doc_id"], r["piece"]) for r in rows}) == len(rows)
