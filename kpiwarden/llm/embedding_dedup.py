@@ -1,10 +1,11 @@
-"""Near-duplicate embeddings by sorted projection passes.
-
-A pass hashes every vector to a string of bits, the signs of random projections, sorts
-by it and compares each vector with a bounded number of neighbours in that order. Near
-vectors share long prefixes, so some pass brings them close. Pairs are verified by cosine
-in double precision and joined over all passes. Within a component all pairs are then
-compared in blocks of bounded size, for numbers of links and for what the windows missed.
+"""Near-duplicate embeddings by comparing all pairs, in blocks.
+
+Vectors are dealt over blocks by hash, the same number in each, and every pair of blocks
+meets in one task: each pair of vectors is compared once, by cosine in double precision,
+so no link is missed, however dense the vectors lie. A pair of blocks gives each vector's
+number of links and only as many links as join the same vectors; over all pairs of blocks
+they give the components. The work is quadratic in the number of vectors, and the rows
+shuffled are the vectors times the number of blocks. No task holds more than two blocks.
 """
 
 from __future__ import annotations
@@ -20,12 +21,11 @@ from kpiwarden.llm.components import components
 from kpiwarden.llm.words import columns, prepare, runs
 from kpiwarden.sources.scratch import stored
 
-PASSES = 16
-WINDOW = 128  # earlier neighbours a vector is compared with
-BITS = 63
-BLOCK = 1024
+BLOCK_BYTES = 16 << 20  # of the vectors of a block, at most
+BLOCKS = 8  # at least, where blocks have no fewer than LEAST vectors by it
+LEAST = 256
+STRIP = 1 << 22  # pairs compared in one go
 COSINE = 0.9
-SEED = 9
 
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,113 +48,81 @@ def _matrix(vectors: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(vectors)).reshape(len(vectors), -1)
 
 
-def _keyed(passes: int):
-    """(width, pass, key, node, vec): every vector once for each pass."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes: dict[int, np.ndarray] = {}
-        powers = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
-        for batch in batches:
-            vectors = batch.column("vec").to_pylist()
-            sizes = np.asarray([len(v) for v in vectors])
-            for size in np.unique(sizes).tolist():
-                at = np.flatnonzero(sizes == size)
-                some, rows = batch.take(pa.array(at)), _matrix([vectors[i] for i in at])
-                if size not in planes:
-                    planes[size] = np.random.default_rng((SEED, size)).normal(size=(size // 8, passes * BITS))
-                signs = (rows @ planes[size] > 0).reshape(len(at), passes, BITS)
-                keys = signs @ powers
-                for p in range(passes):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(at), size, np.int32)),
-                            pa.array(np.full(len(at), p, np.int32)),
-                            pa.array(keys[:, p]),
-                            some.column("node"),
-                            some.column("vec"),
-                        ],
-                        ["width", "pass", "key", "node", "vec"],
-                    )
-
-    return run
-
-
 class _Forest:
-    """Joins nodes; tells whether two were apart."""
-
-    def __init__(self):
-        self._up: dict[int, int] = {}
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self._root(a), self._root(b)
-        if a == b:
-            return False
-        self._up[max(a, b)] = min(a, b)
-        return True
-
-    def _root(self, a: int) -> int:
-        up = self._up
-        while (b := up.get(a, a)) != a:
-            up[a] = up.get(b, b)
-            a = b
-        return a
-
-
-def _neighbours(window: int, cosine: float):
-    """Verified pairs of sorted rows, as few as join the same vectors; windows do not cross widths and passes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_key, held_node, held = None, np.empty(0, np.int64), None
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 4 * window):
-                part = batch.slice(lo, 4 * window)
-                width, number = part.column("width").to_numpy(), part.column("pass").to_numpy()
-                node, vectors = part.column("node").to_numpy(), part.column("vec").to_pylist()
-                cuts = np.flatnonzero((width[1:] != width[:-1]) | (number[1:] != number[:-1])) + 1
-                found = []
-                for i, j in zip([0, *cuts], [*cuts, len(node)]):
-                    key, rows = (width[i], number[i]), _matrix(vectors[i:j])
-                    nodes = node[i:j]
-                    if held is not None and held_key == key:
-                        rows, nodes = np.concatenate((held, rows)), np.concatenate((held_node, nodes))
-                    near = np.tril(rows @ rows.T >= cosine, -1)
-                    near &= ~np.tri(len(nodes), k=-window - 1, dtype=bool)
-                    forest = _Forest()
-                    a, b = np.nonzero(near)
-                    found += [(x, y) for x, y in zip(nodes[a].tolist(), nodes[b].tolist()) if forest.join(x, y)]
-                    held_key, held, held_node = key, rows[-window:], nodes[-window:]
-                if found:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([x for x, _ in found]), pa.array([y for _, y in found])], ["a", "b"]
-                    )
-
-    return run
-
-
-def _counted(cosine: float):
-    """``node, links`` of sorted runs of one block pair of a component."""
-
-    def links(rows: list) -> tuple[np.ndarray, np.ndarray]:
+    """Joins of nodes numbered from 0; ``label`` tells which are together."""
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+        self.a, self.b = [], []  # the joins
+
+    def join(self, near: np.ndarray, at: np.ndarray, to: np.ndarray) -> None:
+        """Join ``at[i]`` with ``to[j]`` wherever ``near[i, j]``."""
+        rest = near & (self.label[at][:, None] != self.label[to][None])
+        while rest.any():
+            i = np.flatnonzero(rest.any(1))
+            j = np.flatnonzero(rest.any(0))
+            self._join(np.concatenate((at[i], at[rest.argmax(0)[j]])), np.concatenate((to[rest.argmax(1)[i]], to[j])))
+            rest &= self.label[at][:, None] != self.label[to][None]
+
+    def _join(self, a: np.ndarray, b: np.ndarray) -> None:
+        up = np.arange(len(self.label))
+        for x, y in zip(a.tolist(), b.tolist()):
+            p, q = int(self.label[x]), int(self.label[y])
+            while p != up[p]:
+                up[p] = p = up[up[p]]
+            while q != up[q]:
+                up[q] = q = up[up[q]]
+            if p != q:
+                up[max(p, q)] = min(p, q)
+                self.a.append(x)
+                self.b.append(y)
+        while (up[up] != up).any():
+            up = up[up]
+        self.label = up[self.label]
+
+
+def _compared(cosine: float):
+    """``a, b, links`` of sorted runs of one block pair: links of a, where b is null, or a link of a and b."""
+
+    def compare(rows: list) -> pa.RecordBatch:
         node, copies, left, right, vectors = rows
         x = _matrix(vectors)
-        near = x[left] @ x[right].T >= cosine
-        near &= node[left][:, None] != node[right][None]
-        own = near @ copies[right]
-        if left.all():  # one block with itself
-            return node[left], own
-        return np.concatenate((node[left], node[right])), np.concatenate((own, copies[left] @ near))
+        li, ri = np.flatnonzero(left), np.flatnonzero(right)
+        one = len(li) == len(node)  # a block with itself
+        to, links, forest = x[ri].T, np.zeros(len(node), np.int64), _Forest(len(node))
+        step = max(1, STRIP // max(1, len(ri)))
+        for lo in range(0, len(li), step):
+            at = li[lo : lo + step]
+            near = x[at] @ to >= cosine
+            if one:
+                near[np.arange(len(at)), at] = False
+            i, j = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
+            near = near[np.ix_(i, j)]
+            links[at[i]] += near @ copies[ri[j]]
+            if not one:
+                links[ri[j]] += copies[at[i]] @ near
+            forest.join(near, at[i], ri[j])
+        own = np.flatnonzero(links)
+        a, b = np.asarray(forest.a, np.int64), np.asarray(forest.b, np.int64)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate((node[own], node[a]))),
+                pa.concat_arrays([pa.nulls(len(own), pa.int64()), pa.array(node[b], pa.int64())]),
+                pa.array(np.concatenate((links[own], np.zeros(len(a), np.int64)))),
+            ],
+            ["a", "b", "links"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in runs(batches, ["root", "i", "j"], ["node", "copies", "left", "right", "vec"]):
-            node, n = links(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n.astype(np.int64))], ["node", "links"])
+        for rows in runs(batches, ["width", "i", "j"], ["node", "copies", "left", "right", "vec"]):
+            yield compare(rows)
 
     return run
 
 
 def near_vectors(
     vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
-    cosine: float = COSINE, passes: int = PASSES, window: int = WINDOW,
+    cosine: float = COSINE,
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row.
 
@@ -170,15 +138,10 @@ def near_vectors(
     some = rows.where("vec is not null and vec_id is not null")
     # equal vectors are one node
     nodes = stored(some.groupBy("vec").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")), "nodes")
-    keyed = nodes.select("node", "vec").mapInArrow(
-        _keyed(passes), "width int, pass int, key long, node long, vec binary"
-    )
-    order = ["width", "pass", "key", "node"]
-    ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
-    pairs = ordered.mapInArrow(_neighbours(window, cosine), "a long, b long")
-    roots = components(pairs).select(F.col("node").alias("member"), "root")
-    joined = stored(nodes.join(roots, nodes["node"] == roots["member"]).drop("member"), "members")
-    links = _links_within(joined, cosine)
+    found = stored(_blocks(nodes).mapInArrow(_compared(cosine), "a long, b long, links long"), "compared")
+    roots = components(found.where("b is not null").select("a", "b")).select(F.col("node").alias("member"), "root")
+    links = found.where("b is null").groupBy(F.col("a").alias("of")).agg(F.sum("links").alias("links"))
+    links = links.join(roots, links["of"] == roots["member"])
     about = nodes.join(links, nodes["node"] == links["of"], "left").select(
         F.col("vec").alias("same"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
@@ -194,15 +157,17 @@ def near_vectors(
     )
 
 
-def _links_within(members: DataFrame, cosine: float) -> DataFrame:
-    """``of, root, links``: rows linked with each node of a component, other copies of itself left out."""
-    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("size")).withColumnRenamed("root", "whose")
-    rows = members.join(sizes, members["root"] == sizes["whose"])
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+def _blocks(nodes: DataFrame) -> DataFrame:
+    """``nodes`` once for each pair of blocks of its width that it is in, sorted by these."""
+    nodes = nodes.withColumn("width", F.octet_length("vec"))
+    sizes = nodes.groupBy("width").agg(F.count(F.lit(1)).alias("size")).withColumnRenamed("width", "wide")
+    rows = nodes.join(sizes, nodes["width"] == sizes["wide"])
+    room = F.ceil(F.col("size") * F.col("width") / BLOCK_BYTES)
+    blocks = F.greatest(room, F.least(F.lit(BLOCKS), F.ceil(F.col("size") / LEAST))).cast("int")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.select(
-        "root",
+        "width",
         F.least("block", "with").alias("i"),
         F.greatest("block", "with").alias("j"),
         "node",
@@ -211,7 +176,4 @@ def _links_within(members: DataFrame, cosine: float) -> DataFrame:
         (F.col("block") >= F.col("with")).alias("right"),
         "vec",
     )
-    rows = rows.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
-    counts = rows.mapInArrow(_counted(cosine), "node long, links long")
-    counts = counts.groupBy("node").agg(F.sum("links").alias("links")).withColumnRenamed("node", "of")
-    return counts.join(members.select("node", "root"), counts["of"] == members["node"]).drop("node")
+    return rows.repartition("width", "i", "j").sortWithinPartitions("width", "i", "j")

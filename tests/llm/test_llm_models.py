@@ -135,6 +135,23 @@ def test_near_vectors(spark):
     assert embedding_dedup.near_vectors(table.limit(0)).collect() == []
 
 
+def test_near_vectors_of_a_dense_topic(spark):
+    rng = np.random.default_rng(7)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    x = unit(np.sqrt(0.8) * unit(rng.normal(size=64)) + np.sqrt(0.2) * unit(rng.normal(size=(12_000, 64))))
+    x = np.concatenate((x, unit(x[:300] + 0.4 * unit(rng.normal(size=(300, 64))))))
+    x = np.concatenate((x, unit(x[5] + 0.1 * unit(rng.normal(size=(900, 64))))))
+    table = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: tuple(r)[1:3] for r in embedding_dedup.near_vectors(table).collect()}
+    groups, n = plain.Groups(range(len(x))), []
+    for i in range(len(x)):
+        near = np.flatnonzero(x @ x[i] >= 0.9)
+        n.append(len(near) - 1)
+        for j in near[near > i].tolist():
+            groups.join(i, j)
+    assert found == {i: (n[i], groups.find(i)) for i in range(len(x))}
+
+
 def test_fingerprints(spark):
     rng = random.Random(3)
     texts = {i: " ".join(f"w{rng.randrange(300)}" for _ in range(rng.choice([0, 1, 4, 5, 40, 700]))) for i in range(60)}
