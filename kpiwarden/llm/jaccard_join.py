@@ -315,7 +315,8 @@ def similar_documents(
 
 
 def _links(source: DataFrame, nodes: DataFrame, shingle: int, similarity: Fraction, bands: Bands) -> DataFrame:
-    signatures = source.mapInArrow(_signatures(shingle, bands), "sig long, node long")
+    # a set that stands in several slices shows its signatures in each
+    signatures = source.mapInArrow(_signatures(shingle, bands), "sig long, node long").distinct()
     same = Window.partitionBy("sig")
     shared = signatures.select(
         "sig", "node", F.min("node").over(same).alias("hub"), F.max("node").over(same).alias("other")
@@ -365,11 +366,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: Frac
 def _crossing(rows: DataFrame, texts: DataFrame, similarity: Fraction) -> DataFrame:
     """Pairs of a signature that lie in different components and may be similar."""
     same = Window.partitionBy("sig")
-    rows = rows.withColumns(
-        {"size": F.count("*").over(same), "held": F.bit_xor(F.xxhash64("node")).over(same)}
-    )
+    rows = rows.withColumn("held", F.bit_xor(F.xxhash64("node")).over(same))
     # signatures of the same nodes are one; should two others fall together, only more pairs are looked at
-    rows = rows.select(F.col("held").alias("sig"), "size", "node", "root").distinct()
+    rows = rows.select(F.col("held").alias("sig"), "node", "root").distinct()
+    # blocks are those of all that fell together, so that each stays within its bound
+    rows = rows.withColumn("size", F.count("*").over(same))
     about = texts.select(F.col("node").alias("id"), "n", "bits")
     rows = rows.join(about, rows["node"] == about["id"])
     block = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)).cast("int")

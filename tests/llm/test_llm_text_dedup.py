@@ -6,11 +6,14 @@ import random
 import duckdb
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
-from kpiwarden.llm import line_dedup, substring_dedup
+from kpiwarden.llm import jaccard_join, line_dedup, substring_dedup
 from kpiwarden.llm.components import components
 from kpiwarden.llm.jaccard_join import Bands, similar_documents
+from kpiwarden.llm.words import runs
 from fractions import Fraction
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
 
@@ -66,6 +69,45 @@ def test_many_near_copies_become_one_component(spark):
     assert {r["doc_id"]: r["component_id"] for r in rows} == plain.similar(texts)
 
 
+def test_texts_in_two_slices_stand_once_for_a_signature(spark, tmp_path, monkeypatch):
+    rng = random.Random(11)
+    bases = [prose(rng, 60) for _ in range(4)]
+    texts = [edited(rng, b, rng.randrange(4)) for b in bases for _ in range(10)]
+    once = plain.documents(spark, list(enumerate(texts)))
+    twice = once.repartition(1).union(once.repartition(1))
+    kept = {}
+
+    def crossing(rows, texts, similarity):
+        kept["rows"] = rows
+        return found(rows, texts, similarity)
+
+    found = jaccard_join._crossing
+    monkeypatch.setattr(jaccard_join, "_crossing", crossing)
+    rows = similar_documents(twice).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == plain.similar(dict(enumerate(texts)))
+    assert len(rows) == 2 * len(texts)
+    assert 0 < kept["rows"].count() == kept["rows"].distinct().count()
+
+
+def test_blocks_of_signatures_that_fall_together(spark, monkeypatch):
+    """Nodes of many small signatures under one name are dealt over blocks by their own number."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 4)
+
+    def cross(similarity):
+        def run(batches):
+            for rows in runs(batches, ["sig", "i", "j"], ["node"]):
+                yield pa.RecordBatch.from_arrays([pa.array([len(rows[0])]), pa.array([0])], ["a", "b"])
+
+        return run
+
+    monkeypatch.setattr(jaccard_join, "_cross", cross)
+    monkeypatch.setattr(jaccard_join.F, "bit_xor", lambda c: F.max(F.lit(0).cast("long")))
+    rows = spark.createDataFrame([(s, s * 2 + k, s * 2 + k) for s in range(32) for k in range(2)], "sig long, node long, root long")
+    texts = rows.select("node", F.lit("t").alias("text"), F.lit(5).cast("long").alias("n"), F.lit(b"12345678").alias("bits"))
+    most = [r["a"] for r in jaccard_join._crossing(rows, texts, Fraction(4, 5)).collect()]
+    assert most and max(most) < 32
+
+
 def test_similar_sets_share_a_signature():
     rng = np.random.default_rng(3)
     bands = Bands(Fraction(4, 5))
