@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiwarden.llm.jaccard_join import similar_documents
+from kpiwarden.llm.jaccard_join import one_of_each
 from kpiwarden.llm.line_dedup import drop_boilerplate
 from kpiwarden.llm.packing import packed_documents
 from kpiwarden.llm.quality import document_statistics, fit, keep_good
@@ -38,10 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows that share both id and text are one document.
     """
-    groups = similar_documents(docs)
-    chosen = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("chosen"))
-    kept = docs.join(chosen.distinct(), docs["doc_id"].eqNullSafe(chosen["chosen"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    return one_of_each(docs)
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

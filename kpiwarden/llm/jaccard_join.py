@@ -151,7 +151,7 @@ class Bands:
 
 
 def _nodes(size: int):
-    """Each document with its number of shingles and the hash of its set."""
+    """Each document with the hashes of its text and of its set and the number of its shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches, "text"):
@@ -159,10 +159,11 @@ def _nodes(size: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
+                    part.column("mark"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64()),
                 ],
-                ["doc_id", "n", "node"],
+                ["doc_id", "mark", "n", "node"],
             )
 
     return run
@@ -287,22 +288,7 @@ def similar_documents(
     of their own text. A null id is kept and never becomes a component's id unless no
     other is there.
     """
-    spark = docs.sparkSession
-    prepare(spark)
-    bands = Bands(similarity)
-    source = columns(docs, doc_id=id_col, text=text_col)
-    rows = stored(
-        source.mapInArrow(_nodes(shingle), "doc_id long, n long, node long"), "sets"
-    )
-    nodes = rows.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("least")
-    )
-    nodes = stored(nodes, "nodes")
-    edges = _links(source, nodes, shingle, similarity, bands)
-    roots = components(edges).select(F.col("node").alias("member"), "root")
-    # nodes without a link are their own component
-    labelled = nodes.select("node", "least").join(roots, nodes["node"] == roots["member"], "left")
-    labelled = stored(labelled.select("node", "least", F.coalesce("root", "node").alias("root")), "labels")
+    rows, labelled = _labelled(columns(docs, doc_id=id_col, text=text_col), shingle, similarity)
     first = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     first = first.select(F.col("root").alias("of"), "component_id")
     named = labelled.join(first, labelled["root"] == first["of"]).select(
@@ -314,6 +300,45 @@ def similar_documents(
     )
 
 
+def one_of_each(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 5,
+    similarity: Fraction = Fraction(4, 5),
+) -> DataFrame:
+    """Rows of ``docs``: one of each component of ``similar_documents``, and all texts without features.
+
+    It is the row with the least id; a null id comes after all others, and of texts with
+    the same id that of the least hash is taken. Of rows with equal id and text one is left.
+    """
+    rows, labelled = _labelled(columns(docs, doc_id=id_col, text=text_col), shingle, similarity)
+    roots = labelled.select(F.col("node").alias("set"), "root")
+    linked = rows.join(roots, rows["node"] == roots["set"])
+    row = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("mark").alias("mark"))
+    chosen = linked.groupBy("root").agg(F.min(row).alias("row")).select("row.id", "row.mark")
+    chosen = chosen.union(rows.where("node is null").select("doc_id", "mark")).distinct()
+    same = docs[id_col].eqNullSafe(chosen["id"]) & (F.xxhash64(docs[text_col]) == chosen["mark"])
+    return docs.join(chosen, same, "left_semi").dropDuplicates([id_col, text_col])
+
+
+def _labelled(source: DataFrame, shingle: int, similarity: Fraction) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, mark, n, node`` of every row and ``node, least, root`` of every node."""
+    prepare(source.sparkSession)
+    bands = Bands(similarity)
+    rows = source.withColumn("mark", F.xxhash64("text"))
+    rows = stored(rows.mapInArrow(_nodes(shingle), "doc_id long, mark long, n long, node long"), "sets")
+    nodes = rows.where("node is not null").groupBy("node").agg(
+        F.min("doc_id").alias("least")
+    )
+    nodes = stored(nodes, "nodes")
+    edges = _links(source, nodes, shingle, similarity, bands)
+    roots = components(edges).select(F.col("node").alias("member"), "root")
+    # nodes without a link are their own component
+    labelled = nodes.select("node", "least").join(roots, nodes["node"] == roots["member"], "left")
+    return rows, stored(labelled.select("node", "least", F.coalesce("root", "node").alias("root")), "labels")
+
+
 def _links(source: DataFrame, nodes: DataFrame, shingle: int, similarity: Fraction, bands: Bands) -> DataFrame:
     # a set that stands in several slices shows its signatures in each
     signatures = source.mapInArrow(_signatures(shingle, bands), "sig long, node long").distinct()

@@ -86,6 +86,18 @@ def test_copies_over_the_ratio_keep_one_document(spark, tmp_path):
     assert {texts[100 + k] for k in range(40)} == {prose(k, 15) for k in range(40)}
 
 
+def test_near_duplicates_of_null_and_repeated_ids(spark):
+    long = [" ".join(f"w{i}x{k}" for k in range(60)) for i in range(4)]
+    rows = [(None, "alone"), (None, long[0]), (None, long[0] + " x"), (1, long[1]), (None, long[1] + " x")]
+    rows += [(2, long[2]), (7, long[2] + " x"), (7, long[3]), (9, long[3] + " x"), (3, ""), (None, None)]
+    after = corpus_pipeline.near_duplicates(spark, plain.documents(spark, rows), SF)
+    found = [(r["doc_id"], r["text"]) for r in after.collect()]
+    own = [(i, t) for i, t in found if t in (long[0], long[0] + " x")]
+    assert len(own) == 1 and own[0][0] is None
+    want = [(None, "alone"), (1, long[1]), (2, long[2]), (7, long[3]), (3, ""), (None, None)]
+    assert sorted(found, key=str) == sorted(want + own, key=str)
+
+
 def test_run_equals_its_stages(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and len({(r["doc_id"], r["piece"]) for r in rows}) == len(rows)
