@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from kpiwarden.llm import licenses, line_dedup
+from kpiwarden.llm import centroids, licenses, line_dedup
 from kpiwarden.llm.byte_bpe import round_trip_report
 from kpiwarden.llm.embedding_dedup import near_vectors
 from kpiwarden.llm.fingerprints import fingerprint_report
@@ -65,6 +65,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_report(_table(spark, sf_dir, "documents"))
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 _QUERIES = (
     op1_jaccard_join,
     op2_best_fit_packing,
@@ -76,6 +80,7 @@ _QUERIES = (
     op8_quality,
     op9_embedding_dedup,
     op10_fingerprints,
+    op13_centroid_clustering,
 )
 
 
@@ -84,4 +89,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": line_dedup.ORACLE_SQL, "op7_license_scan": licenses.oracle_sql()}
+    return {
+        "op4_line_dedup": line_dedup.ORACLE_SQL,
+        "op7_license_scan": licenses.oracle_sql(),
+        "op13_centroid_clustering": centroids.oracle_sql(),
+    }
