@@ -12,6 +12,7 @@ from kpiwarden.llm import centroids, licenses, line_dedup
 from kpiwarden.llm.byte_bpe import round_trip_report
 from kpiwarden.llm.embedding_dedup import near_vectors
 from kpiwarden.llm.fingerprints import fingerprint_report
+from kpiwarden.llm.importance import resampled
 from kpiwarden.llm.jaccard_join import similar_documents
 from kpiwarden.llm.language_id import predicted_languages
 from kpiwarden.llm.packing import packed_documents
@@ -65,6 +66,10 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clustered_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -80,6 +85,7 @@ _QUERIES = (
     op8_quality,
     op9_embedding_dedup,
     op10_fingerprints,
+    op11_importance_resampling,
     op13_centroid_clustering,
 )
 
