@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,19 +14,23 @@ from pyspark.sql import DataFrame, SparkSession
 #: Set to true where a local or file: path is a mount that all executors share.
 SHARED = "spark.kpiwarden.scratch.shared"
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A new, unused path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Only with a local master, where driver and executors share one disk, may the setting
-    be missing (the path is then in a temporary folder) or name a local folder. Elsewhere
-    a local folder is refused unless ``SHARED`` says that it is a common mount.
+    Only with a local master, where driver and executors are one process, may the setting
+    be missing; the path is then in a temporary folder. On a cluster of several machines a
+    local folder is refused unless ``SHARED`` says that it is a common mount; the local
+    file system counts as the default if Hadoop's configuration says so.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not spark.sparkContext.master.startswith("local"):
-        if not base:
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = spark.sparkContext.getConf().get("spark.hadoop.fs.defaultFS", "file:///")
+    master = spark.sparkContext.master
+    if not (base or master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if base and not master.startswith("local"):
+        root = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
         scheme = urlsplit(base).scheme or urlsplit(root).scheme
         if scheme == "file" and spark.conf.get(SHARED, "false").lower() != "true":
             raise ValueError(f"{base} is a local folder; if all executors share it, set {SHARED}")
@@ -33,13 +39,29 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Have Spark remove the shuffle files of each job when it ends, not when the driver happens to drop its plan."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """The same rows, computed once, written to scratch and read from there.
 
-    Spark knows the size of what it reads back and can choose joins by it.
+    Spark knows the size of what it reads back and can choose joins by it. The shuffles
+    behind the rows are not needed again.
     """
     path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
+    with _shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     found = df.sparkSession.read.schema(df.schema).parquet(path)
     found._scratch_path = path
     return found
