@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from kpiwarden.llm import centroids, licenses, line_dedup
+from kpiwarden.llm import centroids, licenses, line_dedup, suffix_dedup
 from kpiwarden.llm.byte_bpe import round_trip_report
 from kpiwarden.llm.embedding_dedup import near_vectors
 from kpiwarden.llm.fingerprints import fingerprint_report
@@ -70,6 +70,10 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_report(_table(spark, sf_dir, "documents"))
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.clustered_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -86,6 +90,7 @@ _QUERIES = (
     op9_embedding_dedup,
     op10_fingerprints,
     op11_importance_resampling,
+    op12_suffix_array_dedup,
     op13_centroid_clustering,
 )
 

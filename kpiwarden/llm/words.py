@@ -120,6 +120,18 @@ def windows(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return mix((sums[at + size] - sums[at]) * down[at]), at
 
 
+def byte_windows(data: np.ndarray, size: int) -> np.ndarray:
+    """Hash of each run of ``size`` bytes."""
+    n = len(data)
+    if n < size:
+        return np.empty(0, np.uint64)
+    up, down = _OF_BYTES.upto(n + 1)
+    sums = np.empty(n + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(_BYTE[data] * up[:n], out=sums[1:])
+    return mix((sums[size:] - sums[:-size]) * down[: n - size + 1])
+
+
 def whole(w: Words, doc: int) -> np.uint64:
     """Hash of all words of one document as a single run."""
     lo, hi = w.first[doc], w.first[doc + 1]
