@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiwarden.functions.rules import Rule
+from kpiwarden.functions.sums import as_double, total_of_totals
 from kpiwarden.operators.recent import SERIES
 
 
@@ -32,7 +33,7 @@ def series_bands(days: DataFrame, rule: Rule) -> DataFrame:
     Squared deviations are summed around the mean of the latest day, so that
     large values with a small spread keep their digits.
     """
-    mean_of_day = F.try_divide("total", "filled")
+    mean_of_day = F.try_divide(as_double(F.col("total")), "filled")
     latest_first = (
         Window.partitionBy(*SERIES)
         .orderBy(F.desc("date"))
@@ -45,7 +46,7 @@ def series_bands(days: DataFrame, rule: Rule) -> DataFrame:
         .groupBy(*SERIES)
         .agg(
             F.sum("filled").alias("filled"),
-            F.try_divide(F.sum("total"), F.sum("filled")).alias("rata"),
+            F.try_divide(as_double(total_of_totals("total")), F.sum("filled")).alias("rata"),
             F.min("low").alias("low"),
             F.max("high").alias("high"),
             (

@@ -11,15 +11,17 @@ from kpiwarden.functions.rules import Rule
 from kpiwarden.sources.schema import BOUNDS, KEYS
 
 
-def attach_band(rows: DataFrame, bands: DataFrame, by: Sequence[str] = KEYS) -> DataFrame:
-    """Left join on plain equality: a row lacking a key value finds no band.
+def attach_band(
+    rows: DataFrame, bands: DataFrame, by: Sequence[str] = KEYS, how: str = "left"
+) -> DataFrame:
+    """Join on plain equality: a row lacking a key value finds no band.
 
     Bands come from a grouping on the series struct, so a shuffled join exchanges
     them by the single columns. They are one row per series by then, and with a
     shuffle on either side adaptive execution can turn this into a broadcast join
     or split a series that has very many rows.
     """
-    return rows.join(bands, list(by), "left")
+    return rows.join(bands, list(by), how)
 
 
 def status_of(rule: Rule) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiwarden.functions.dates import as_date
+from kpiwarden.functions.sums import as_double, total_of, total_of_totals
 from kpiwarden.sources.schema import KEYS
 from kpiwarden.sources.scratch import stored
 
@@ -39,7 +40,7 @@ def daily_totals(rows: DataFrame, value: str, by: Sequence[str] = KEYS) -> DataF
     return rows.groupBy(F.struct(*by).alias("series"), "date").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(v).alias("filled"),
-        F.sum(v).alias("total"),
+        total_of(v).alias("total"),
         F.min(v).alias("low"),
         F.max(v).alias("high"),
         (F.var_pop(v) * F.count(v)).alias("spread"),
@@ -60,6 +61,33 @@ def recent_days(totals: DataFrame, depth: int) -> DataFrame:
     return latest.withColumn("rank", rank).where(F.col("rank") <= depth)
 
 
+def in_turn(days: DataFrame) -> DataFrame:
+    """Asked days as a question (turn 0) and every day with rows as an answer (turn 1), with ``place``.
+
+    ``days`` has a row per series, with its hash, and date: ``rows``, what they add up to,
+    and whether the day is ``asked`` for. A day's place is the number of rows up to and
+    with it, a question's the number before its date. So what ranks before a question
+    are the answers whose place is less than the depth behind its own.
+    """
+    turns = F.when(F.col("asked"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
+    days = days.withColumn("turn", F.explode(turns)).where("turn = 0 or rows > 0")
+    in_order = Window.partitionBy(*SERIES).orderBy("date", "turn").rowsBetween(Window.unboundedPreceding, 0)
+    place = F.sum(F.when(F.col("turn") == 1, F.col("rows")).otherwise(0)).over(in_order)
+    return days.withColumn("place", place)
+
+
+def means_before(days: DataFrame, depth: int) -> DataFrame:
+    """The asked days of ``days`` (see ``in_turn``) with ``rata``, the mean of the ``depth`` latest rows before each.
+
+    It is a sum over a range of places; nothing is listed.
+    """
+    latest = Window.partitionBy(*SERIES).orderBy("place").rangeBetween(1 - depth, 0)
+    answer = F.col("turn") == 1
+    total = total_of_totals("total", lambda part: F.sum(F.when(answer, part)).over(latest))
+    mean = F.try_divide(as_double(total), F.sum(F.when(answer, F.col("filled"))).over(latest))
+    return in_turn(days).withColumn("rata", mean).where("turn = 0").drop("turn", "place")
+
+
 def same_series(left: DataFrame, right: DataFrame, by: Sequence[str], prefix: str = "") -> Column:
     """Join condition on the key columns; only the vendor may be null, and then equals null."""
     on = F.lit(True)

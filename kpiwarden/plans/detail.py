@@ -13,6 +13,7 @@ from kpiwarden.functions.rules import (
     SIGMA,
     Rule,
 )
+from kpiwarden.functions.sums import as_double, total_of
 from kpiwarden.operators.bands import bounds
 from kpiwarden.operators.recent import SERIES, with_series_hash
 from kpiwarden.sources.schema import BOUNDS, KEYS
@@ -52,7 +53,7 @@ def _request_days(
             F.count("n").alias("rows"),
             F.coalesce(F.sum("n"), F.lit(0)).alias("copies"),
             F.count(v).alias("filled"),
-            F.sum(v).alias("total"),
+            as_double(total_of(v)).alias("total"),
             F.min(v).alias("low"),
             F.max(v).alias("high"),
             (F.var_pop(v) * F.count(v)).alias("spread"),

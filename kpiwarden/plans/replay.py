@@ -1,33 +1,38 @@
 """Score a range of days, each day's accepted rows feeding the next.
 
 Which rows of a day are accepted depends on the accepted rows of earlier days only. So
-the whole range is judged at once, by bands from the rows accepted in the round before;
-the first round takes every row that its value alone does not rule out. Each round
-settles at least one more day of every series, mostly far more, and a round that accepts
-the same rows as the one before has found the answer: it is the only one there can be.
-
-A round is a few joins, grouped sums and windows over one row per series and date. It
-never gathers a series, however many rows it has, and it is the same for all series.
+all days are judged at once, by bands from a first guess of what is accepted, and again
+by bands from what that accepted, and so on. Each series has a frontier: the first day
+whose accepted rows a round has changed. Up to and with it the round was right, as what
+came before did not change; beyond it the days are judged again. A day is settled once
+and then only counts as history, and a series without changes is done. So a round looks
+at fewer series and days than the one before, and settles a day at least of each series.
+
+Whether a day changed is told by the number of its accepted rows and two sums of their
+hashes. A round is grouped sums, a join, and windows over one row per series and date. It
+never gathers a series, however many rows it has, and it is the same for all.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import date as Date
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from kpiwarden.functions.dates import as_date, with_day_name
 from kpiwarden.functions.rules import OK, Rule
+from kpiwarden.functions.sums import as_double, total_of, total_of_totals
 from kpiwarden.operators.judge import attach_band, judged, status_of
-from kpiwarden.operators.recent import SERIES, recent_totals, with_series_hash
+from kpiwarden.operators.recent import SERIES, means_before, recent_totals, with_series_hash
 from kpiwarden.operators.selection import eligible, kpi_select, of_kpis, of_series
 from kpiwarden.plans.score import accepted_before
 from kpiwarden.sources.schema import KEYS
-from kpiwarden.sources.scratch import removed, stored
+from kpiwarden.sources.scratch import stored
 
 _DAY = ("rows", "filled", "total")
+_MARK = ("rows", "low_hashes", "high_hashes")
 
 
 def _inputs(observations, results, kpi_list, sites, category, rule, start, end, look_back):
@@ -45,7 +50,7 @@ def _inputs(observations, results, kpi_list, sites, category, rule, start, end,
         of_series(history, rows, by), rule.value, rule.depth, by,
         wanted=rows, before=start, look_back=look_back,
     )
-    return rows, stored(prior.select("series", "date", *_DAY), "replay-prior"), by
+    return rows, stored(prior.select(*SERIES, "date", *_DAY), "replay-prior"), by
 
 
 def replay(
@@ -63,87 +68,83 @@ def replay(
     """Result rows of all days from start to end, both included.
 
     Results dated within the range are ignored; they are what gets replaced. The rounds
-    run when this is called, and no more than the range has days plus one.
+    run when this is called, and there are no more than the range has days.
     """
     rows, prior, by = _inputs(
         observations, results, kpi_list, sites, category, rule, start, end, look_back
     )
-    accepted = rows.where(~rule.rejects(F.col(rule.value)))
-    days = Date.fromisoformat(end).toordinal() - Date.fromisoformat(start).toordinal() + 1
-    bands, before = None, None
-    for _ in range(max(days, 0) + 1):
-        last, bands = bands, stored(_bands(rows, accepted, prior, by, rule), "replay-bands")
-        settled = _accepted_mark(bands)
-        removed(last)
-        if settled == before:
-            break
-        before = settled
-        accepted = _banded(rows, bands, by, rule).where(status_of(rule) == OK)
-    return judged(_banded(rows, bands, by, rule), rule)
-
-
-def _bands(
-    rows: DataFrame, accepted: DataFrame, prior: DataFrame, by: Sequence[str], rule: Rule
-) -> DataFrame:
-    """Mean of the recent accepted rows before each date on which a series has rows.
+    rounds = list(_rounds(rows, prior, by, rule))
+    settled = rounds[0].where("settled")
+    for days in rounds[1:]:
+        settled = settled.unionByName(days.where("settled"))
+    return judged(_banded(rows, settled, [*by, "date"], by, rule), rule)
+
 
-    ``rows`` and ``mark`` tell which rows of the date itself were accepted.
+def _rounds(rows: DataFrame, prior: DataFrame, by: Sequence[str], rule: Rule) -> Iterator[DataFrame]:
+    """The days that each round judged: the mean before them, what it accepted, and whether that is settled.
+
+    Series without accepted rows before the range never have a band and are in no round.
     """
-    series = F.struct(*by).alias("series")
-    value = F.col(rule.value).cast("double")
-    fresh = accepted.groupBy(series, "date").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(value).alias("filled"),
-        F.sum(value).alias("total"),
-        F.bit_xor(F.xxhash64(value)).alias("mark"),
-    )
-    asked = rows.select(series, "date").distinct().withColumn("asked", F.lit(True))
-    days = (
-        prior.unionByName(fresh, allowMissingColumns=True)
-        .unionByName(asked, allowMissingColumns=True)
-        .groupBy("series", "date")
-        .agg(
-            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-            F.sum("filled").alias("filled"),
-            F.sum("total").alias("total"),
-            F.max("mark").alias("mark"),
-            F.max("asked").alias("asked"),
+    mean = F.try_divide(as_double(total_of_totals("total")), F.sum("filled")).alias("rata")
+    first = with_series_hash(prior.groupBy("series").agg(mean))
+    days = _accepted(_banded(rows, first, by, by, rule, "inner", *SERIES), rule)
+    history = [prior.select(*SERIES, "date", *_DAY)]
+    known = history[0]
+    while True:
+        left = Observation()
+        days = _judged_again(rows, known, days, by, rule).observe(
+            left, F.min(F.when(~F.col("settled"), F.col("date"))).alias("since")
         )
-    )
-    by_date = Window.partitionBy(*SERIES).orderBy("date")
-    earlier = by_date.rowsBetween(Window.unboundedPreceding, -1)
-    days = with_series_hash(days).withColumns(
-        {
-            "position": F.coalesce(F.count(F.when(F.col("rows") > 0, 1)).over(earlier), F.lit(0)),
-            "rows_before": F.coalesce(F.sum("rows").over(earlier), F.lit(0)),
-        }
-    )
-    previous = Window.partitionBy(*SERIES).orderBy("position").rangeBetween(-rule.depth, -1)
-    day = F.struct("rows_before", *_DAY)
-    days = days.withColumn("days", F.collect_list(F.when(F.col("rows") > 0, day)).over(previous))
-    # Rows later than a day and before the date: fewer than depth, so it ranks.
-    ranked = F.filter(
-        "days", lambda d: F.col("rows_before") - d["rows_before"] - d["rows"] < rule.depth
-    )
+        days = stored(days, "replay-days")
+        yield days
+        since = left.get["since"]
+        if since is None:
+            return
+        history.append(days.where("settled and rows > 0").select(*SERIES, "date", *_DAY))
+        days, rows = days.where("not settled"), rows.where(F.col("date") >= as_date(since))
+        known = reduce(DataFrame.unionByName, history).join(days.select(*SERIES), list(SERIES), "left_semi")
 
-    def summed(field: str, zero):
-        return F.aggregate(ranked, zero, lambda acc, d: acc + F.coalesce(d[field], zero))
 
-    mean = F.try_divide(summed("total", F.lit(0.0)), summed("filled", F.lit(0).cast("bigint")))
-    return days.where("asked").select("series.*", "date", mean.alias("rata"), "rows", "mark")
+def _judged_again(rows: DataFrame, known: DataFrame, days: DataFrame, by: Sequence[str], rule: Rule) -> DataFrame:
+    """``days`` judged by bands from what is known and what they themselves accepted before.
 
-
-def _banded(rows: DataFrame, bands: DataFrame, by: Sequence[str], rule: Rule) -> DataFrame:
-    lower, upper = rule.band(F.col("rata"))
-    means = bands.select(*by, "date", upper.alias("b_atas"), lower.alias("b_bawah"), "rata")
-    return attach_band(rows, means, [*by, "date"])
+    A day is settled if no earlier one of its series has changed.
+    """
+    days = days.select(*SERIES, "date", *_DAY, *_MARK[1:], F.lit(True).alias("asked"))
+    days = days.unionByName(known.withColumn("asked", F.lit(False)), allowMissingColumns=True)
+    # all steps keep a series together, so that what is dealt out once need not be again
+    was = [f"was_{m}" for m in _MARK]
+    means = means_before(days, rule.depth).withColumnsRenamed(dict(zip(_MARK, was)))
+    banded = _banded(rows, means, [*by, "date"], by, rule, "inner", *SERIES, *was)
+    again = _accepted(banded, rule, *[F.max(c).alias(c) for c in ("rata", *was)])
+    changed = F.lit(False)
+    for m, w in zip(_MARK, was):
+        changed = changed | (F.col(m) != F.col(w))
+    frontier = F.min(F.when(changed, F.col("date"))).over(Window.partitionBy(*SERIES))
+    settled = F.coalesce(F.col("date") <= frontier, F.lit(True))
+    return again.withColumn("settled", settled).select(*SERIES, "date", *_DAY, *_MARK[1:], "rata", "settled")
+
+
+def _accepted(banded: DataFrame, rule: Rule, *more: Column) -> DataFrame:
+    """Totals and marks of the accepted rows of each series and date; zero or null where none is."""
+    ok = status_of(rule) == OK
+    value = F.when(ok, F.col(rule.value).cast("double"))
+    mark = F.when(ok, F.xxhash64(rule.value))
+    return banded.groupBy(*SERIES, "date").agg(
+        F.count_if(ok).alias("rows"),
+        F.count(value).alias("filled"),
+        total_of(value).alias("total"),
+        F.coalesce(F.sum(mark.bitwiseAND(0xFFFFFFFF)), F.lit(0)).alias("low_hashes"),
+        F.coalesce(F.sum(F.shiftright(mark, 32)), F.lit(0)).alias("high_hashes"),
+        *more,
+    )
 
 
-def _accepted_mark(bands: DataFrame) -> tuple:
-    """Changes whenever the accepted rows do."""
-    mark = F.xxhash64(*bands.columns[:-3], "rows", "mark")
-    return tuple(
-        bands.agg(
-            F.sum("rows"), F.sum(mark.bitwiseAND(0xFFFFFFFF)), F.sum(F.shiftright(mark, 32))
-        ).first()
-    )
+def _banded(
+    rows: DataFrame, means: DataFrame, on: Sequence[str], by: Sequence[str], rule: Rule,
+    how: str = "left", *more: str,
+) -> DataFrame:
+    """Rows with the bounds around the mean of their series, or of their series and date."""
+    lower, upper = rule.band(F.col("rata"))
+    named = [F.col(f"series.{k}").alias(k) for k in by] + ["date"] * ("date" in on)
+    return attach_band(rows, means.select(*named, upper.alias("b_atas"), lower.alias("b_bawah"), "rata", *more), on, how)

@@ -5,7 +5,8 @@ from datetime import date, timedelta
 
 import pytest
 
-from kpiwarden.functions.rules import CLASS_RULES
+from kpiwarden.functions.rules import CLASS_RULES, PLAIN
+from kpiwarden.plans import replay as replay_plan
 from kpiwarden.plans.replay import replay
 
 START = date(2024, 1, 1)
@@ -90,3 +91,56 @@ def test_replay_equals_simulation(make, rule, step):
     assert any("'ok'" in w for w in want)
     assert collected(replay(*tables, **options)) == want
     assert collected(replay(*tables, **options, look_back=20)) == want
+
+
+def test_repeats_that_cancel_do_not_end_a_replay(make):
+    """A round that accepts {a, a} and one that accepts {b, b} are not the same."""
+    key = make.key("S00001")
+    days = [
+        [(100.0, 7), (300.0, 7)],
+        [(200.0, 8), (100.0, 8)],
+        [(150.0, 8), (200.0, 8), (100.0, 8)],
+        [(100.0, 8), (200.0, 8), (150.0, 8)],
+    ]
+    history = [(START, key, 100.0, "ok")] * 7
+    rows = [(START + timedelta(days=n + 1), key, v) for n, day in enumerate(days) for v, times in day for _ in range(times)]
+    first, last = START + timedelta(days=1), START + timedelta(days=4)
+    out = replay(
+        make.observations([(d.isoformat(), k, v) for d, k, v in rows]),
+        make.results([(d.isoformat(), k, v, s) for d, k, v, s in history]),
+        make.kpi_list(PLAIN), make.sites(),
+        category="ran", rule=PLAIN, start=first.isoformat(), end=last.isoformat(),
+    )
+    got = sorted((r["date"], r["value"], r["rata"], r["status"]) for r in out.collect())
+    assert got == sorted((d, v, m, s) for d, _, v, m, s in simulate(PLAIN, history, rows, first, last))
+
+
+def test_rounds_look_at_fewer_days(spark, make, monkeypatch):
+    """Only what lies beyond a series' first changed day is judged again, and each day is settled once."""
+    seen = []
+
+    def rounds(rows, prior, by, rule):
+        for days in found(rows, prior, by, rule):
+            seen.append(days)
+            yield days
+
+    found = replay_plan._rounds
+    monkeypatch.setattr(replay_plan, "_rounds", rounds)
+    history, rows = random_case(make, PLAIN, seed=12)
+    first, last = START + timedelta(days=60), START + timedelta(days=85)
+    # a level that rises step by step, each step within the band of the one before
+    key = make.key("S00020")
+    history += [(START + timedelta(days=50 + n), key, 100.0, "ok") for n in range(7)]
+    rows += [(START + timedelta(days=60 + n), key, 100.0 * 1.06 ** n) for n in range(26)]
+    out = replay(
+        make.observations([(d.isoformat(), k, v) for d, k, v in rows]),
+        make.results([(d.isoformat(), k, v, s) for d, k, v, s in history]),
+        make.kpi_list(PLAIN), make.sites(),
+        category="ran", rule=PLAIN, start=first.isoformat(), end=last.isoformat(),
+    )
+    got = sorted((r["date"], r["location"], r["value"] or 0, r["status"]) for r in out.collect())
+    assert got == sorted((d, k[5], v or 0, s) for d, k, v, _, s in simulate(PLAIN, history, rows, first, last))
+    counts = [d.count() for d in seen]
+    assert len(counts) > 2 and all(a > b for a, b in zip(counts, counts[1:]))
+    settled = [(r["series"], r["date"]) for d in seen for r in d.where("settled").select("series", "date").collect()]
+    assert len(settled) == len(set(settled)) == counts[0]
