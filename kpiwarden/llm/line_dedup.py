@@ -131,7 +131,8 @@ def site_line_report(pages: DataFrame, ratio: float = RATIO, min_pages: int = MI
     ``pages`` has ``page_id, url, html``. A null page has no lines and a null hash.
     """
     lines = pages.select("page_id", host(F.col("url")).alias("host"), html_lines(F.col("html")).alias("text"))
-    lines = lines.withColumn("n_lines", _lines(F.col("text")))
+    # both passes over the lines read what one pass over the pages has made
+    lines = stored(lines.withColumn("n_lines", _lines(F.col("text"))), "page-lines")
     kept = drop_boilerplate(lines, "text", "host", ratio, min_pages)
     return kept.select(
         "page_id",
