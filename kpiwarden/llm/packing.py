@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiwarden.llm.remembered import Remembered
+from kpiwarden.llm.remembered import LONGEST, Remembered
 from kpiwarden.llm.words import columns, prepare, slices
 from kpiwarden.sources.scratch import stored
 
@@ -53,7 +53,7 @@ class WordTokenizer:
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
         parts = {p for w in set().union(*split) if w not in self._words for p in self._cut(w)}
-        new = [p for p in parts if p not in self._parts]
+        new = [p for p in parts if len(p) <= LONGEST and p not in self._parts]
         letters = [p for p in new if self._plain(p)]
         for part, ids in zip(letters, self._encoded_runs(letters), strict=True):
             self._parts[part] = ids

@@ -4,15 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable, Hashable
 
-MOST = 250_000  # keys in each of two generations
+MOST_BYTES = 24 << 20  # of keys and values in each of two generations
+EACH = 180  # bytes that a pair takes besides its characters
+LONGEST = 256  # characters of a key; longer ones are computed anew
 
 
 class Remembered(dict):
-    """Values by key, computed when missing; keys not used for long go when there are too many."""
+    """Values by key, computed when missing; keys not used for long go when there are too many.
+
+    Keys and values are texts or bytes. What is kept is bounded by its bytes, not by its
+    number, and a long key is never kept.
+    """
 
     def __init__(self, compute: Callable[[Hashable], object]):
         super().__init__()
-        self._compute, self._older = compute, {}
+        self._compute, self._older, self._held = compute, {}, 0
 
     def __missing__(self, key):
         value = self._older.get(key)
@@ -22,8 +28,11 @@ class Remembered(dict):
         return value
 
     def __setitem__(self, key, value):
-        if len(self) >= MOST:
-            self._older = dict(self)
+        if len(key) > LONGEST:
+            return
+        self._held += EACH + len(key) + len(value)
+        if self._held > MOST_BYTES:
+            self._older, self._held = dict(self), 0
             self.clear()
         super().__setitem__(key, value)
 

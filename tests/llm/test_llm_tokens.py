@@ -10,7 +10,7 @@ import plain
 import public_tokenizers
 import pytest
 import tiktoken
-from kpiwarden.llm import packing
+from kpiwarden.llm import packing, remembered
 from kpiwarden.llm.byte_bpe import ByteBpe, round_trip_report
 from tokenizers import Tokenizer
 
@@ -116,3 +116,16 @@ def test_ranks_that_fall_during_merging():
                 break
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         assert bpe.merge(text.encode()) == [bpe.ranks[p] for p in parts]
+
+
+def test_what_is_remembered_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(remembered, "MOST_BYTES", 10_000)
+    made = []
+    held = remembered.Remembered(lambda x: made.append(x) or x.encode())
+    long = "w" * 5_000_000
+    assert held[long] == long.encode() and long not in held
+    for i in range(1000):
+        assert held[f"w{i}"] == b"w%d" % i
+    assert len(held) + len(held._older) < 2 * 10_000 // remembered.EACH
+    before = len(made)
+    assert held["w999"] == b"w999" and len(made) == before
