@@ -5,12 +5,16 @@ k = floor((a + b) (1 - s) / (1 + s)) features. Sizes are grouped into overlappin
 so that any two sizes that can reach s share a band. In a band, the feature domain is cut
 into m > k partitions; of those, at most k can differ between two similar sets, so
 
-* with m = k + 2, some subset of two partitions is equal in both: small bands enumerate
-  all subsets of two partitions;
-* in larger bands a subset is a single partition, and a set need not show all m of them.
-  Its partitions are ordered by how many of its features they hold; any k + 1 partitions
-  that come first in an order which both sets follow contain an equal one. Showing the
-  fullest partitions first makes signatures selective.
+* some two partitions are equal in both, if there are k + 2 or more: small bands show
+  subsets of two;
+* in larger bands a subset is a single partition.
+
+A set need not show all m partitions. They are ordered by how many of its features they
+hold, which is the same order for those that are equal in both sets. Before the first
+equal one there are at most k others, before the second one more: so the first k + 1 are
+enough for single partitions, and the subsets of the first k + 2 for pairs. Showing the
+fullest first makes signatures selective; with more than k + 2 partitions, a small set
+hardly ever shows two that are empty.
 
 A signature is a hash of band, subset and the features in it. Sets that share none are
 not similar, so nothing is lost. Sets that share one are candidates.
@@ -37,7 +41,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpiwarden.llm.components import components
@@ -127,7 +131,7 @@ class Bands:
         if most == 0:
             return band, 0, 1, 1
         if most <= 3:
-            return band, most, most + 2, 2
+            return band, most, 4 * most + 5, 2
         return band, k, max(most + 1, round(SPREAD * largest)), 1
 
     def signatures(self, features: np.ndarray) -> np.ndarray:
@@ -144,7 +148,8 @@ class Bands:
                 first = np.argsort(-held, kind="stable")[: k + 1]
                 out.append(mix(content[first] + first.astype(np.uint64) * _ODD + mark))
             else:
-                p, q = np.asarray(list(combinations(range(m), together)), np.uint64).T
+                first = np.sort(np.argsort(-held, kind="stable")[: k + 2])
+                p, q = np.asarray(list(combinations(first, together)), np.uint64).T
                 pair = mix(content[p] + p * _ODD) + mix(content[q] + q * _ODD) * np.uint64(3)
                 out.append(mix(pair + mark))
         return np.concatenate(out)
@@ -328,10 +333,10 @@ def _labelled(source: DataFrame, shingle: int, similarity: Fraction) -> tuple[Da
     bands = Bands(similarity)
     rows = source.withColumn("mark", F.xxhash64("text"))
     rows = stored(rows.mapInArrow(_nodes(shingle), "doc_id long, mark long, n long, node long"), "sets")
-    nodes = rows.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("least")
-    )
-    nodes = stored(nodes, "nodes")
+    # of the rows with a node's set, one stands for it: its text is named by id and hash
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark"))
+    nodes = rows.where("node is not null").groupBy("node").agg(first.alias("first"))
+    nodes = stored(nodes.select("node", F.col("first.doc_id").alias("least"), "first.mark"), "nodes")
     edges = _links(source, nodes, shingle, similarity, bands)
     roots = components(edges).select(F.col("node").alias("member"), "root")
     # nodes without a link are their own component
@@ -340,13 +345,12 @@ def _labelled(source: DataFrame, shingle: int, similarity: Fraction) -> tuple[Da
 
 
 def _links(source: DataFrame, nodes: DataFrame, shingle: int, similarity: Fraction, bands: Bands) -> DataFrame:
+    signatures = source.mapInArrow(_signatures(shingle, bands), "sig long, node long")
+    hubs = signatures.groupBy("sig").agg(F.min("node").alias("hub"), F.max("node").alias("other"))
+    hubs = hubs.where("hub != other").withColumnRenamed("sig", "of")
     # a set that stands in several slices shows its signatures in each
-    signatures = source.mapInArrow(_signatures(shingle, bands), "sig long, node long").distinct()
-    same = Window.partitionBy("sig")
-    shared = signatures.select(
-        "sig", "node", F.min("node").over(same).alias("hub"), F.max("node").over(same).alias("other")
-    )
-    shared = stored(shared.where("hub != other"), "shared")
+    shared = signatures.join(hubs, signatures["sig"] == hubs["of"]).select("sig", "node", "hub", "other").distinct()
+    shared = stored(shared, "shared")
     texts = _texts(source, nodes, shared, shingle)
     tested = stored(_pairs(shared, "hub").union(_pairs(shared, "other")).distinct(), "hubs")
     edges = stored(_verified(tested, texts, shingle, similarity), "edges")
@@ -367,17 +371,17 @@ def _apart(shared: DataFrame, edges: DataFrame) -> DataFrame:
     shared = shared.where("node != hub and node != other").select("sig", "node")
     roots = components(edges).select(F.col("node").alias("member"), "root")
     rows = shared.join(roots, shared["node"] == roots["member"], "left")
-    rows = rows.select("sig", "node", F.coalesce("root", "node").alias("root"))
-    same = Window.partitionBy("sig")
-    rows = rows.withColumns({"low": F.min("root").over(same), "high": F.max("root").over(same)})
-    return rows.where("low != high").select("sig", "node", "root")
+    rows = stored(rows.select("sig", "node", F.coalesce("root", "node").alias("root")), "apart")
+    several = rows.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
+    return rows.join(several.select(F.col("sig").alias("of")), F.col("sig") == F.col("of"), "left_semi")
 
 
 def _texts(source: DataFrame, nodes: DataFrame, shared: DataFrame, shingle: int) -> DataFrame:
     """One text of each node that shares a signature, with the size of its set and its parities."""
     wanted = shared.select("node").distinct()
-    some = nodes.join(wanted, "node").select("node", F.col("least").alias("id"))
-    texts = source.join(some, source["doc_id"].eqNullSafe(some["id"])).select("id", "node", "text").distinct()
+    some = nodes.join(wanted, "node").select("node", F.col("least").alias("id"), F.col("mark").alias("its"))
+    same = source["doc_id"].eqNullSafe(some["id"]) & (F.xxhash64(source["text"]) == some["its"])
+    texts = source.join(some, same).select("id", "node", "text").distinct()
     return stored(texts.mapInArrow(_own(shingle), "node long, text string, n long, bits binary"), "texts")
 
 
@@ -390,12 +394,13 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: Frac
 
 def _crossing(rows: DataFrame, texts: DataFrame, similarity: Fraction) -> DataFrame:
     """Pairs of a signature that lie in different components and may be similar."""
-    same = Window.partitionBy("sig")
-    rows = rows.withColumn("held", F.bit_xor(F.xxhash64("node")).over(same))
+    held = rows.groupBy("sig").agg(F.bit_xor(F.xxhash64("node")).alias("held")).withColumnRenamed("sig", "of")
     # signatures of the same nodes are one; should two others fall together, only more pairs are looked at
-    rows = rows.select(F.col("held").alias("sig"), "node", "root").distinct()
+    rows = rows.join(held, rows["sig"] == held["of"]).select(F.col("held").alias("sig"), "node", "root")
+    rows = stored(rows.distinct(), "held")
     # blocks are those of all that fell together, so that each stays within its bound
-    rows = rows.withColumn("size", F.count("*").over(same))
+    sizes = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("size")).withColumnRenamed("sig", "of")
+    rows = rows.join(sizes, rows["sig"] == sizes["of"]).drop("of")
     about = texts.select(F.col("node").alias("id"), "n", "bits")
     rows = rows.join(about, rows["node"] == about["id"])
     block = F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / BLOCK)).cast("int")

@@ -213,3 +213,32 @@ def test_pages_equal_sql(spark, tmp_path):
         assert sorted(map(tuple, line_dedup.site_line_report(table).collect()), key=str) == want
     dropped = line_dedup.site_line_report(pages).where("n_dropped > 0").count()
     assert dropped == 41
+
+
+def test_documents_without_an_id_meet_their_own_text_only(spark, monkeypatch):
+    """Rows joined for the texts of nodes grow with the documents, not with their square."""
+    rng = random.Random(3)
+    texts = [prose(rng, 40) for _ in range(60)]
+    docs = plain.documents(spark, [(None, edited(rng, t, k)) for t in texts for k in (0, 1)] + [(5, texts[0])])
+    kept = {}
+
+    def found(source, nodes, shared, shingle):
+        kept["joined"] = source, nodes, shared
+        return texts_of(source, nodes, shared, shingle)
+
+    texts_of = jaccard_join._texts
+    monkeypatch.setattr(jaccard_join, "_texts", found)
+    assert len(similar_documents(docs).collect()) == 121
+    source, nodes, shared = kept["joined"]
+    rows = texts_of(source, nodes, shared, 5)
+    assert rows.count() <= 121
+    assert nodes.select("least", "mark").distinct().count() == nodes.count()
+
+
+def test_small_sets_seldom_share_empty_partitions():
+    rng = np.random.default_rng(2)
+    bands = Bands(Fraction(4, 5))
+    for size in (4, 5, 6, 8, 12):
+        sets = [np.sort(rng.integers(0, 1 << 63, size, np.int64).view(np.uint64)) for _ in range(5000)]
+        found = np.concatenate([np.unique(bands.signatures(s)) for s in sets])
+        assert np.unique(found, return_counts=True)[1].max() < 0.01 * len(sets)
