@@ -131,7 +131,7 @@ class Bands:
         if most == 0:
             return band, 0, 1, 1
         if most <= 3:
-            return band, most, 4 * most + 5, 2
+            return band, k, 4 * most + 5, 2
         return band, k, max(most + 1, round(SPREAD * largest)), 1
 
     def signatures(self, features: np.ndarray) -> np.ndarray:

@@ -239,6 +239,6 @@ def test_small_sets_seldom_share_empty_partitions():
     rng = np.random.default_rng(2)
     bands = Bands(Fraction(4, 5))
     for size in (4, 5, 6, 8, 12):
-        sets = [np.sort(rng.integers(0, 1 << 63, size, np.int64).view(np.uint64)) for _ in range(5000)]
+        sets = [np.sort(rng.integers(0, 1 << 64, size, np.uint64)) for _ in range(5000)]
         found = np.concatenate([np.unique(bands.signatures(s)) for s in sets])
         assert np.unique(found, return_counts=True)[1].max() < 0.01 * len(sets)
