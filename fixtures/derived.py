@@ -21,6 +21,7 @@ CATEGORY = "ran"
 CUT_OFF = "2001-05-31"
 DAY = "2001-06-15"
 LATER_DAY = "2001-06-18"
+FOLLOWED_FROM = "2001-06-08"
 REPLAY_START = "2001-06-01"
 REPLAY_END = "2001-06-30"
 KEEP_AS_OF = "2001-07-01"

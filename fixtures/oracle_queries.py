@@ -410,8 +410,8 @@ def oracle_sql() -> dict[str, str]:
         "classify_completeness_detail": with_views(_classified("row_count", _count_status(), 0.95, 1.05)),
     }
     for plain, others in {
-        "score_all": ("score_all_look_back",),
-        "completeness_score": ("completeness_look_back",),
+        "score_all": ("score_all_look_back", "stored_recent_score"),
+        "completeness_score": ("completeness_look_back", "stored_recent_completeness"),
         "replace_slice": ("stored_slice",),
         "reseed_class": ("stored_reseed",),
         "replace_date": ("stored_date",),

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fixtures import derived
-from fixtures.derived import CATEGORY, CUT_OFF, DAY, KEEP_AS_OF, REPLAY_END, REPLAY_START
+from fixtures.derived import (
+    CATEGORY, CUT_OFF, DAY, FOLLOWED_FROM, KEEP_AS_OF, LATER_DAY, REPLAY_END, REPLAY_START,
+)
 from kpiwarden.functions.dates import as_date, days_after, each_day, weekday_name, with_day_name
 from kpiwarden.functions.rules import (
     CLASS_RULES,
@@ -50,6 +52,7 @@ from kpiwarden.plans.score import (
 )
 from kpiwarden.plans.seed import seed
 from kpiwarden.sources.schema import BOUNDS, KEYS
+from kpiwarden.sources.kept import MisnamedSites, RecentDays
 from kpiwarden.sources.scratch import scratch_path
 from kpiwarden.sources.store import DatedTable, publish_range, retain_histories
 
@@ -272,6 +275,33 @@ def _stored_histories(t: Tables) -> DataFrame:
     return counted(parts[0].union(parts[1]), "category", "date", "kpi")
 
 
+def _followed(t: Tables, rows: DataFrame, value: str) -> RecentDays:
+    """Recent days that follow stored results, of which the week before the scored day, and a later day, are added by changes."""
+    early = F.col("date") < as_date(FOLLOWED_FROM)
+    table = _stored_table(t, rows.where(early), "results")
+    recent = RecentDays(t.spark, scratch_path(t.spark, "recent"), value)
+    recent.start(table)
+    week = rows.where(~early)
+    table.replace_range(week.where(F.col("date") < as_date(DAY)), FOLLOWED_FROM, DAY)
+    table.append(week.where(F.col("date") == as_date(LATER_DAY)))
+    return recent
+
+
+def _score_from_recent(t: Tables) -> DataFrame:
+    recent = _followed(t, t.results, "value").before(DAY)
+    scored = score_all(t.observations, None, t.kpi_list, t.site_master, category=CATEGORY, day=DAY, recent=recent)
+    return rounded(scored)
+
+
+def _completeness_from_kept(t: Tables) -> DataFrame:
+    """Scored from kept tables; of row counts and results only the day itself is read."""
+    recent = _followed(t, t.completeness_results, "row_count").before(DAY)
+    sites = MisnamedSites(t.spark, scratch_path(t.spark, "misnamed"))
+    for start, end in (("0001-01-01", DAY), (DAY, "9999-12-31")):
+        sites.feed(t.row_counts, start, end)
+    return rounded(score_completeness(t.row_counts, None, sites.read(), day=DAY, recent=recent))
+
+
 def _retention(t: Tables) -> DataFrame:
     parts = [
         maintain.retain(alerts(t.results, PLAIN), KEEP_AS_OF).select("date", "kpi", "status"),
@@ -336,6 +366,8 @@ _QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "stored_append": _stored_append,
     "stored_replay": _stored_replay,
     "stored_histories": _stored_histories,
+    "stored_recent_score": _score_from_recent,
+    "stored_recent_completeness": _completeness_from_kept,
 }
 for _rule in CLASS_RULES:
     _QUERIES[f"seed_{_rule.name}"] = partial(_seed, rule=_rule)

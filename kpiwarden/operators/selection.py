@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpiwarden.functions.rules import Rule
@@ -47,11 +47,14 @@ def of_series(df: DataFrame, wanted: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.join(wanted.select(*by).distinct(), list(by), "left_semi")
 
 
+def misnamed() -> Column:
+    """Whether a row is of a site whose location does not have six characters."""
+    return (F.col("level") == "site") & (F.length("location") != SITE_NAME_LENGTH)
+
+
 def misnamed_sites(sites: DataFrame) -> DataFrame:
     """Site rows whose location does not have six characters."""
-    return sites.where(
-        (F.col("level") == "site") & (F.length("location") != SITE_NAME_LENGTH)
-    ).select("level", "location")
+    return sites.where(misnamed()).select("level", "location")
 
 
 def bad_site_locations(sites: DataFrame) -> DataFrame:

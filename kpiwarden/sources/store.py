@@ -19,6 +19,7 @@ import re
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from datetime import date as Date
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,18 +33,30 @@ from kpiwarden.plans.score import alerts
 from kpiwarden.sources.schema import KEYS, conform
 from kpiwarden.sources.scratch import scratch_path
 
+if TYPE_CHECKING:
+    from kpiwarden.sources.kept import RecentDays
+
 
 #: Folder for what a change will put in place, and the file that makes it final.
 CHANGE, NEW, READY = "_change", "_change/new", "_change/ready"
 
+#: File of a table that another follows, see ``RecentDays``.
+FOLLOWED = "_followed"
+
 
 class DatedTable:
-    """A parquet folder with one sub-folder per date."""
+    """A parquet folder with one sub-folder per date.
+
+    ``recent`` is what follows this table, if anything does: it changes together with it.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+    def __init__(
+        self, spark: SparkSession, path: str, schema: T.StructType, recent: RecentDays | None = None
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
+        self.recent = recent
 
     def read(self) -> DataFrame:
         """All rows; a filter on ``date`` reads only the folders it needs."""
@@ -55,7 +68,13 @@ class DatedTable:
     def append(self, rows: DataFrame) -> None:
         """Add rows. Columns the table has and the rows lack become null; a null date fails."""
         self.recover()
-        self._write(self._filled(rows), self.path)
+        self._refuse_unfollowed()
+        if self.recent is None:
+            self._write(self._filled(rows), self.path)
+            return
+        with self._staged(rows) as staged:
+            days = staged.dates()
+            self._commit([self._prepared(self._on(days), staged, days)])
 
     def replace_slice(self, fresh: DataFrame, kpis: DataFrame, day: str) -> None:
         """Replace the rows of some KPIs on one date."""
@@ -108,10 +127,15 @@ class DatedTable:
     def retain(self, as_of: str, keep_days: int = KEEP_DAYS) -> None:
         """Remove the folders of dates ``keep_days`` or more before ``as_of``."""
         self.recover()
+        self._refuse_unfollowed()
         last = Date.fromordinal(Date.fromisoformat(as_of).toordinal() - keep_days)
-        for day in self.dates():
-            if day <= last:
-                self._delete(self._folder(day))
+        old = [day for day in self.dates() if day <= last]
+        if self.recent is not None and old:
+            self._delete(self._file(CHANGE))
+            self._commit([{"path": self.path, "filled": [], "gone": [d.isoformat() for d in old]}])
+            return
+        for day in old:
+            self._delete(self._folder(day))
 
     def dates(self) -> list[Date]:
         """Dates the table has folders for, read from their names."""
@@ -169,11 +193,19 @@ class DatedTable:
 
     def _commit(self, parts: list[dict]) -> None:
         """Make prepared changes final, this table's first, and put them in place."""
+        self._refuse_unfollowed()
+        if self.recent is not None:
+            parts = [*parts, self.recent.prepared(self, parts[0])]
         for part in parts[1:]:
             self._put(f"{part['path']}/{CHANGE}/with", self.path)
         self._put(self._file(READY), json.dumps(parts))
         self._finish(parts)
 
+    def _refuse_unfollowed(self) -> None:
+        """Raise if another table follows this one and would not learn of a change."""
+        if self.recent is None and self._exists(self._file(FOLLOWED)):
+            raise ValueError(f"{self.path} is followed by {self._text(self._file(FOLLOWED))}: open it with recent=")
+
     def _finish(self, parts: list[dict]) -> None:
         """Put new folders in the places of the old; what an earlier run has moved is left as it is."""
         for part in parts:
@@ -202,6 +234,11 @@ class DatedTable:
         if not fs.rename(draft, self._path(path)):
             raise OSError(f"cannot write {path}")
 
+    def _put_once(self, name: str, text: str) -> None:
+        """A small file of the table in place of one of that name."""
+        self._delete(self._file(name))
+        self._put(self._file(name), text)
+
     def _text(self, path: str) -> str:
         source = self._fs(path).open(self._path(path))
         try:
