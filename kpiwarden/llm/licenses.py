@@ -1,14 +1,18 @@
-"""Licence texts and notices in documents, by the Dice coefficient over word bigrams.
-
-A line, a paragraph or a whole text is compared with every template whose size permits
-the threshold: with sizes a and b, the coefficient is at most 2 min(a, b) / (a + b). All
-of it happens within a row, in DataFrame functions, so nothing is shuffled and a text's
-length is the only thing that the work of a row depends on.
+"""Licence texts and notices in documents, by the Dice coefficient over sets of word bigrams.
+
+With sizes a and b the coefficient is at most 2 min(a, b) / (a + b). So a template is
+looked for only in a text that shares enough bigrams with it, and compared with lines,
+paragraphs and the whole text if their sizes permit, and with runs of as many words as it
+has: those that start with a bigram of the template and hold enough of them. Bigrams are
+compared by 64-bit hashes. All of it happens within a row, in DataFrame functions, so
+nothing is shuffled and the work of a row depends on its text only.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from dataclasses import dataclass
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
@@ -88,76 +92,126 @@ any source distribution.""",
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+@dataclass(frozen=True)
+class Template:
+    """A licence with its bigrams, how many words it has, and the sizes that can reach the coefficient."""
+
+    name: str
+    bigrams: tuple[str, ...]
+    words: int
+    least: int
+    most: int
+
+    @staticmethod
+    def of(name: str, text: str, dice: float) -> Template:
+        lower = text.translate(str.maketrans(_UPPER, _LOWER))
+        words = "".join(c if c.isascii() and c.isalnum() else " " for c in lower).split()
+        bigrams = tuple(sorted({f"{a} {b}" for a, b in zip(words, words[1:])}))
+        m, share = len(bigrams), Fraction(str(dice))
+        return Template(name, bigrams, len(words), math.ceil(m * share / (2 - share)),
+                        math.floor(m * (2 - share) / share))
+
+    def hashes(self) -> Column:
+        return F.array(*[F.xxhash64(*map(F.lit, b.split(" "))) for b in self.bigrams])
+
+
+def _known(dice: float, templates: dict[str, str] | None) -> list[Template]:
+    return [Template.of(name, text, dice) for name, text in (templates or TEMPLATES).items()]
+
+
 def normalised(text: Column) -> Column:
     """Lower-case ASCII letters and digits; all else but line feeds is a space."""
     lower = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
     return F.regexp_replace(lower, "[^a-z0-9\n]+", " ")
 
 
-def _template_bigrams(text: str) -> list[str]:
-    lower = text.translate(str.maketrans(_UPPER, _LOWER))
-    words = "".join(c if c.isascii() and c.isalnum() else " " for c in lower).split()
-    return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), 0)
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(text, "[ \n]+"), lambda w: w != "")
+def bigrams(text: Column) -> Column:
+    """Hashes of a normalised text's word bigrams, in order."""
+    words = F.filter(F.split(text, "[ \n]+"), lambda w: w != "")
 
+    def paired(w: Column) -> Column:
+        n = F.greatest(F.size(w) - 1, F.lit(0))
+        return F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.xxhash64(a, b))
 
-def _bigrams(words: Column) -> Column:
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.concat_ws(" ", F.get(words, i), F.get(words, i + 1))
-    )
-    return F.array_distinct(F.when(F.size(words) < 2, F.array().cast("array<string>")).otherwise(pairs))
+    return _once(words, paired)
 
 
-def segments(text: Column, least: int, most: int) -> Column:
-    """Word lists of a normalised text's lines, paragraphs and whole, with so many bigrams."""
+def segments(text: Column) -> Column:
+    """Sets of bigrams of a normalised text's lines, paragraphs and whole."""
     parts = F.concat(F.split(text, "\n"), F.split(text, r"\n[ \n]*\n"), F.array(text))
-    listed = F.transform(F.array_distinct(parts), lambda p: _words(p))
-    return F.filter(listed, lambda w: F.size(w).between(least + 1, most + 1))
+    return F.transform(F.array_distinct(parts), lambda p: F.array_distinct(bigrams(p)))
 
 
-def _sizes(m: int, dice: float) -> tuple[int, int]:
-    """Sizes that can reach the coefficient with a size of m."""
-    share = Fraction(str(dice))
-    return math.ceil(m * share / (2 - share)), math.floor(m * (2 - share) / share)
+def _windows(listed: Column, template: Template) -> Column:
+    """Sets of bigrams of the runs of a template's number of words that can reach the coefficient.
+
+    A run starts with a bigram of the template; the least number of them has to fit in.
+    """
+    own, size = template.hashes(), template.words - 1
+    starts = F.filter(F.sequence(F.lit(1), F.size(listed)), lambda i: F.array_contains(own, F.get(listed, i - 1)))
+    return _once(
+        starts,
+        lambda s: F.transform(
+            F.filter(s, lambda i, k: F.get(s, k + template.least - 1) - i < size),
+            lambda i: F.array_distinct(F.slice(listed, i, size)),
+        ),
+    )
 
 
-def _known(templates: dict[str, str] | None) -> list[tuple[str, list[str]]]:
-    return [(name, _template_bigrams(t)) for name, t in (templates or TEMPLATES).items()]
+def _best(listed: Column, parts: Column, template: Template) -> Column:
+    """The highest coefficient of a template with a segment or run; null if none can reach it."""
+    own = template.hashes()
+    of_size = F.filter(parts, lambda b: F.size(b).between(template.least, template.most))
+    compared = F.concat(of_size, _windows(listed, template))
+    return F.array_max(
+        F.transform(
+            compared,
+            lambda b: 2.0 * F.size(F.array_intersect(b, own)) / (F.size(b) + len(template.bigrams)),
+        )
+    )
 
 
 def license_matches(docs: DataFrame, text_col: str = "text", dice: float = DICE,
                     templates: dict[str, str] | None = None) -> Column:
-    """``dice, license`` of every segment and template that reach the threshold, as an array column.
+    """``dice, license`` of every template that a text has, as an array column.
 
-    The size of a segment is its number of bigrams, that of a template its number of
-    distinct ones, and what they share is counted once each. Equal segments of a text
-    match once. A null or empty text has no matches.
+    A template's coefficient is the highest that it reaches with a line, a paragraph, the
+    whole text, or a run of as many words as it has. Repeated bigrams count once on either
+    side. A null or empty text has no matches.
     """
-    known = [(name, own, _sizes(len(own), dice)) for name, own in _known(templates)]
-    least, most = min(k[2][0] for k in known), max(k[2][1] for k in known)
-
-    def compared(words: Column) -> Column:
-        n = F.size(words) - 1
-
-        def one(bigrams: Column, name: str, own: list[str], sizes: tuple[int, int]) -> Column:
-            share = 2.0 * F.size(F.array_intersect(bigrams, F.lit(own))) / (n + len(own))
-            return F.when(n.between(*sizes), F.struct(share.alias("dice"), F.lit(name).alias("license")))
-
-        # a list of one, so that the bigrams are computed once
-        return F.flatten(
-            F.transform(F.array(_bigrams(words)), lambda b: F.array(*[one(b, *k) for k in known]))
+    known = _known(dice, templates)
+    every = F.array_distinct(F.flatten(F.array(*[t.hashes() for t in known])))
+
+    def found(text: Column, listed: Column, shared: Column) -> Column:
+        possible = F.array(*[F.size(F.array_intersect(shared, t.hashes())) >= t.least for t in known])
+        none = F.array().cast("array<struct<dice: double, license: string>>")
+
+        def matches(ok: Column, parts: Column) -> Column:
+            tried = F.array(*[
+                F.when(F.get(ok, k), F.struct(_best(listed, parts, t).alias("dice"), F.lit(t.name).alias("license")))
+                for k, t in enumerate(known)
+            ])
+            return F.filter(tried, lambda x: x["dice"] >= dice)
+
+        return _once(possible, lambda ok: F.when(
+            F.exists(ok, lambda x: x), _once(segments(text), lambda parts: matches(ok, parts))
+        ).otherwise(none))
+
+    return _once(normalised(F.col(text_col)), lambda text: _once(
+        bigrams(text), lambda listed: _once(
+            F.array_intersect(listed, every), lambda shared: found(text, listed, shared)
         )
-
-    found = F.flatten(F.transform(segments(normalised(F.col(text_col)), least, most), compared))
-    return F.filter(found, lambda x: x["dice"] >= dice)
+    ))
 
 
 def license_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dice: float = DICE,
                    templates: dict[str, str] | None = None) -> DataFrame:
-    """``doc_id, license, dice, n_matches`` of every row: the best match (null if there is none) and how many.
+    """``doc_id, license, dice, n_matches`` of every row: the best match (null if there is none), how many templates match.
 
     Of equally good templates the last in alphabetical order is named.
     """
@@ -172,34 +226,41 @@ def license_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def oracle_sql(dice: float = DICE) -> str:
     """The rows of ``license_report`` over ``documents``."""
     values = ", ".join(
-        f"({_quoted(name)}, [{', '.join(map(_quoted, own))}], {_sizes(len(own), dice)[0]}, {_sizes(len(own), dice)[1]})"
-        for name, own in _known(None)
+        f"({_quoted(t.name)}, [{', '.join(map(_quoted, t.bigrams))}], {t.words}, {t.least})"
+        for t in _known(dice, None)
     )
     return rf"""
-with templates(license, own, least, most) as (values {values}),
+with templates(license, own, words, least) as (values {values}),
 texts as (
   select row_number() over () as r, doc_id,
     regexp_replace(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^a-z0-9
 ]+', ' ', 'g') as t
   from documents),
 parts as (
-  select r, unnest(list_distinct(list_concat(
+  select r, 'part' as kind, unnest(list_distinct(list_concat(
     list_concat(string_split(t, chr(10)), regexp_split_to_array(t, '
 [ 
 ]*
 ')), [t]))) as p
-  from texts),
-listed as (select r, [w for w in regexp_split_to_array(p, '[ 
+  from texts
+  union all select r, 'text', t from texts),
+listed as (select r, kind, [w for w in regexp_split_to_array(p, '[ 
 ]+') if w <> ''] as ws from parts),
-paired as (
-  select r, len(ws) - 1 as n, list_distinct([ws[i] || ' ' || ws[i + 1] for i in range(1, len(ws))]) as bs
-  from listed where len(ws) - 1 >= (select min(least) from templates) and len(ws) - 1 <= (select max(most) from templates)),
+paired as (select r, kind, [ws[i] || ' ' || ws[i + 1] for i in range(1, len(ws))] as bs from listed),
+candidates as (
+  select r, license, own, words, bs from paired join templates on len(list_intersect(bs, own)) >= least
+  where kind = 'text'),
+starts as (select r, license, own, words, bs, unnest(range(1, len(bs) + 1)) as i from candidates),
 compared as (
-  select r, license, 2.0::double * len(list_intersect(bs, own)) / (n + len(own)) as dice
-  from paired join templates on n between least and most),
+  select r, license, own, list_distinct(bs[i:i + words - 2]) as bs from starts where list_contains(own, bs[i])
+  union all
+  select r, license, own, list_distinct(p.bs) from paired p join candidates c using (r) where kind = 'part'),
+reached as (
+  select r, license, max(2.0::double * len(list_intersect(bs, own)) / (len(bs) + len(own))) as dice
+  from compared group by r, license),
 best as (
   select r, max(struct_pack(dice := dice, license := license)) as b, count(*) as n
-  from compared where dice >= {dice} group by r)
+  from reached where dice >= {dice} group by r)
 select doc_id, b.license as license, b.dice as dice, cast(coalesce(n, 0) as integer) as n_matches
 from texts left join best using (r)
 """

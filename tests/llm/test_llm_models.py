@@ -95,6 +95,9 @@ def test_licenses_equal_sql(spark, tmp_path):
         (5, "x\nreleased UNDER the mit license\nRELEASED under the MIT License.\n"), (6, "Licensed under CC BY-NC 4.0."),
         (7, "Licensed under the Apache License"), (8, "nothing " * 5000), (9, "one"), (5, "x"), (None, mit),
         (10, mit.replace("\n", " ") + " " + mit), (11, "a\n \n\n b"),
+        (12, "title\n\nby someone\n\n" + mit.replace(". ", ".\n\n").replace("conditions: ", "conditions:\n\n") + "\n\nand more"),
+        (13, "All rights reserved. Released under the MIT License. See the file for details."),
+        (14, "Of the software and to any person. " * 40), (15, f"x {licenses.TEMPLATES['ISC']} y {mit} z"),
     ]
     docs = plain.documents(spark, rows)
     docs.select("doc_id", "text").toPandas().to_parquet(tmp_path / "documents.parquet")
@@ -105,6 +108,8 @@ def test_licenses_equal_sql(spark, tmp_path):
     assert found == want
     named = {r[0]: r[1] for r in found}
     assert (named[1], named[2], named[6], named[8]) == ("MIT", "MIT", "CC-BY-NC-4.0 notice", None)
+    assert (named[12], named[13], named[14], named[15]) == ("MIT", "MIT notice", None, "MIT")
+    assert {r[0]: r[3] for r in found}[15] == 2
     assert licenses.license_report(docs.limit(0)).collect() == []
 
 
