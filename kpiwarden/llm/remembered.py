@@ -16,9 +16,9 @@ class Remembered(dict):
     number, and a long key is never kept.
     """
 
-    def __init__(self, compute: Callable[[Hashable], object]):
+    def __init__(self, compute: Callable[[Hashable], object] | None = None, most: int | None = None):
         super().__init__()
-        self._compute, self._older, self._held = compute, {}, 0
+        self._compute, self._most, self._older, self._held = compute, most, {}, 0
 
     def __missing__(self, key):
         value = self._older.get(key)
@@ -31,10 +31,22 @@ class Remembered(dict):
         if len(key) > LONGEST:
             return
         self._held += EACH + len(key) + len(value)
-        if self._held > MOST_BYTES:
+        if self._held > (self._most or MOST_BYTES):
             self._older, self._held = dict(self), 0
             self.clear()
         super().__setitem__(key, value)
 
     def __contains__(self, key) -> bool:
         return super().__contains__(key) or key in self._older
+
+    def known(self, keys: set) -> dict:
+        """Those of the keys that are held, with their values; they count as used."""
+        younger, older = dict.keys(self), self._older
+        out = {k: self[k] for k in keys & younger}
+        again = {k: older[k] for k in (keys - younger) & older.keys()}
+        self.keep(again)
+        return out | again
+
+    def keep(self, pairs: dict) -> None:
+        for key, value in pairs.items():
+            self[key] = value

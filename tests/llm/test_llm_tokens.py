@@ -10,8 +10,8 @@ import plain
 import public_tokenizers
 import pytest
 import tiktoken
-from kpiwarden.llm import packing, remembered
-from kpiwarden.llm.byte_bpe import ByteBpe, round_trip_report
+from kpiwarden.llm import byte_bpe, packing, remembered
+from kpiwarden.llm.byte_bpe import ByteBpe, decoded, encoded, round_trip_report
 from tokenizers import Tokenizer
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -103,6 +103,37 @@ def test_bpe_equals_the_library(spark, docs, library):
     assert round_trip_report(docs.limit(0), BYTES, public_tokenizers.PATTERN).collect() == []
 
 
+def test_bpe_ids_and_bytes(spark, docs, library):
+    rows = decoded(encoded(docs, BYTES, public_tokenizers.PATTERN), BYTES, public_tokenizers.PATTERN).collect()
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert np.frombuffer(r["ids"], "<u4").tolist() == library.encode_ordinary(texts[r["doc_id"]])
+        assert r["bytes"] == texts[r["doc_id"]].encode()
+
+
+def test_pre_tokens_of_a_slice_merge_as_each_would_alone(library):
+    bpe = ByteBpe.load(BYTES, public_tokenizers.PATTERN)
+    rng = random.Random(3)
+    syllables = ["th", "the", "an", "aa", "a", "ing", "tion", "é", "日本", "xq", "  ", "ab", "ba", "0", "ÿ"]
+    words = ["".join(rng.choices(syllables, k=rng.randrange(1, 60))) for _ in range(3000)]
+    words += ["a" * n for n in (1, 2, 63, 64, 65, 66, 1000)] + words[:50]
+    want = [library._encode_single_piece(w.encode()) for w in words]
+    assert [np.frombuffer(x, "<u4").tolist() for x in bpe.merge_all([w.encode() for w in words])] == want
+    assert [bpe.merge(w.encode()) for w in words[:100]] == want[:100]
+    assert bpe.merge_all([]) == [] and not any(bpe._words)
+
+
+def test_short_and_long_pre_tokens_merge_alike(monkeypatch):
+    tokens = [b"a", b"b", b"x", b"abx", b"bb", b"ab", b"aba", b"xa", b"abab"]
+    bpe = ByteBpe({t: i for i, t in enumerate(tokens)}, r"\S+")
+    rng = random.Random(4)
+    data = ["".join(rng.choices("abx", k=rng.randrange(1, 40))).encode() for _ in range(2000)]
+    together = bpe.merge_all(data)
+    monkeypatch.setattr(byte_bpe, "_SHORT", 0)
+    assert bpe.merge_all(data) == together
+
+
 def test_ranks_that_fall_during_merging():
     # "abx" is a better pair than "ab" and "x" once "ab" is there
     tokens = [b"a", b"b", b"x", b"abx", b"bb", b"ab", b"aba"]
