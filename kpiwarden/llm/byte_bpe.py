@@ -19,6 +19,7 @@ Pre-tokens repeat, so their ids are remembered in memory bounded by bytes.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 from array import array
@@ -36,6 +37,7 @@ from kpiwarden.llm.words import columns, prepare, slices
 _SHIFT = 8  # the bitmap's words have 256 bits, so two levels hold all ranks
 _MASK = (1 << _SHIFT) - 1
 _SHORT = 64
+_SLICE = 4 << 20  # bytes of texts whose new pre-tokens are merged together
 _HELD = 48 << 20  # bytes of memory for each kind of piece
 _GONE, _UNKNOWN = -1, -2
 _BETWEEN = b"\xff"  # no byte of UTF-8
@@ -140,7 +142,9 @@ class ByteBpe:
             order = np.argsort(new, kind="stable")
             order = order[np.searchsorted(new[order], 0) :]
             start, new = start[order], new[order]
-            cuts = np.flatnonzero(np.diff(new, prepend=_GONE)).tolist()
+            turns = np.ones(len(new), bool)
+            np.not_equal(new[1:], new[:-1], out=turns[1:])
+            cuts = np.flatnonzero(turns).tolist()
             for rank, lo, hi in zip(new[cuts].tolist(), cuts, [*cuts[1:], len(new)]):
                 if rank in buckets:
                     buckets[rank].append(start[lo:hi])
@@ -219,7 +223,18 @@ class ByteBpe:
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers.
 
-        Where all white space is single spaces and line feeds, no pre-token goes beyond
+        Many lists and no cycles are made, so that Python need not look for any meanwhile.
+        """
+        looks = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode_all(texts)
+        finally:
+            if looks:
+                gc.enable()
+
+    def _encode_all(self, texts: list[str]) -> list[bytes]:
+        """Where all white space is single spaces and line feeds, no pre-token goes beyond
         one, and a space begins the pre-token that follows it. Such a text is cut there
         without the pattern, and its words are remembered too.
         """
@@ -272,7 +287,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for part, texts in slices(batches, "text"):
+        for part, texts in slices(batches, "text", _SLICE):
             ids = own.encode_all([(t or b"").decode() for t in texts])
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
@@ -304,7 +319,7 @@ def round_trip_report(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         decimal = [str(i) for i in range(len(own.tokens))]
-        for part, texts in slices(batches, "text"):
+        for part, texts in slices(batches, "text", _SLICE):
             rows = []
             for ids in own.encode_all([(t or b"").decode() for t in texts]):
                 numbers = np.frombuffer(ids, "<u4").tolist()

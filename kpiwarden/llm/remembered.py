@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Hashable
+from itertools import batched
 
 MOST_BYTES = 24 << 20  # of keys and values in each of two generations
 EACH = 180  # bytes that a pair takes besides its characters
@@ -30,23 +31,36 @@ class Remembered(dict):
     def __setitem__(self, key, value):
         if len(key) > LONGEST:
             return
-        self._held += EACH + len(key) + len(value)
+        super().__setitem__(key, value)
+        self._grown(EACH + len(key) + len(value))
+
+    def _grown(self, size: int) -> None:
+        self._held += size
         if self._held > (self._most or MOST_BYTES):
             self._older, self._held = dict(self), 0
             self.clear()
-        super().__setitem__(key, value)
 
     def __contains__(self, key) -> bool:
         return super().__contains__(key) or key in self._older
 
     def known(self, keys: set) -> dict:
         """Those of the keys that are held, with their values; they count as used."""
-        younger, older = dict.keys(self), self._older
-        out = {k: self[k] for k in keys & younger}
-        again = {k: older[k] for k in (keys - younger) & older.keys()}
+        out, again = {}, {}
+        younger, older = self.get, self._older.get
+        for key in keys:
+            value = younger(key)
+            if value is None:
+                value = again[key] = older(key)
+                if value is None:
+                    del again[key]
+                    continue
+            out[key] = value
         self.keep(again)
-        return out | again
+        return out
 
     def keep(self, pairs: dict) -> None:
-        for key, value in pairs.items():
-            self[key] = value
+        """Hold many pairs at once."""
+        for some in batched(pairs.items(), 4096):
+            short = {key: value for key, value in some if len(key) <= LONGEST}
+            self.update(short)
+            self._grown(EACH * len(short) + sum(map(len, short)) + sum(map(len, short.values())))

@@ -140,14 +140,16 @@ def whole(w: Words, doc: int) -> np.uint64:
     return mix(np.asarray([total]) + np.asarray([hi - lo], np.uint64) * _ODD)[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Parts of the batches with the column's values as bytes (null stays None), by SLICE_BYTES."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES
+) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Parts of the batches with the column's values as bytes (null stays None), cut after ``most`` bytes."""
     for batch in batches:
         values = batch.column(column).cast(pa.large_binary()).to_pylist()
         lo = size = 0
         for i, v in enumerate(values):
             size += len(v or b"") + 1
-            if size >= SLICE_BYTES or i + 1 == len(values):
+            if size >= most or i + 1 == len(values):
                 yield batch.slice(lo, i + 1 - lo), values[lo : i + 1]
                 lo, size = i + 1, 0
 
