@@ -19,7 +19,6 @@ Pre-tokens repeat, so their ids are remembered in memory bounded by bytes.
 from __future__ import annotations
 
 import base64
-import gc
 import hashlib
 import re
 from array import array
@@ -31,7 +30,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from kpiwarden.llm.remembered import Remembered
+from kpiwarden.llm.remembered import Remembered, no_collection
 from kpiwarden.llm.words import columns, prepare, slices
 
 _SHIFT = 8  # the bitmap's words have 256 bits, so two levels hold all ranks
@@ -223,21 +222,14 @@ class ByteBpe:
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers.
 
-        Many lists and no cycles are made, so that Python need not look for any meanwhile.
+        Where all white space is single spaces and line feeds, no pre-token goes beyond
+        one, and a space begins the pre-token that follows it. Such a text is cut there
+        without the pattern, and its words are remembered too.
         """
-        looks = gc.isenabled()
-        gc.disable()
-        try:
+        with no_collection():
             return self._encode_all(texts)
-        finally:
-            if looks:
-                gc.enable()
 
     def _encode_all(self, texts: list[str]) -> list[bytes]:
-        """Where all white space is single spaces and line feeds, no pre-token goes beyond
-        one, and a space begins the pre-token that follows it. Such a text is cut there
-        without the pattern, and its words are remembered too.
-        """
         lines = [None if _WIDE.search(t) else [line.split(" ") for line in t.split("\n")] for t in texts]
         words = {"\n"}.union(x[0] for text in lines if text for x in text)
         spaced = set().union(*(x[1:] for text in lines if text for x in text))

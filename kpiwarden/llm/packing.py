@@ -19,12 +19,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiwarden.llm.remembered import LONGEST, Remembered
+from kpiwarden.llm.remembered import LONGEST, Remembered, no_collection
 from kpiwarden.llm.words import columns, prepare, slices
 from kpiwarden.sources.scratch import stored
 
 LENGTH = 2048
 SHARD = 50_000  # pieces a shard has on average
+_SLICE = 4 << 20  # bytes of texts whose new words are encoded together
 _MARKS = ".,!?;:*#$%&|"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -47,25 +48,37 @@ class WordTokenizer:
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self._words = Remembered(lambda word: b"".join(self._parts[p] for p in self._cut(word)))
-        self._parts = Remembered(lambda part: self._encoded([part])[0])
+        self._words, self._parts = Remembered(), Remembered()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        parts = {p for w in set().union(*split) if w not in self._words for p in self._cut(w)}
-        new = [p for p in parts if len(p) <= LONGEST and p not in self._parts]
-        letters = [p for p in new if self._plain(p)]
-        for part, ids in zip(letters, self._encoded_runs(letters), strict=True):
-            self._parts[part] = ids
-        others = [p for p in new if not self._plain(p)]
-        for part, ids in zip(others, self._encoded(others), strict=True):
-            self._parts[part] = ids
-        return [b"".join(map(self._words.__getitem__, s)) for s in split]
+        with no_collection():
+            split = [t.replace("\n", " ").split(" ") for t in texts]
+            distinct = set().union(*split)
+            words = self._words.known(distinct)
+            cut = {w: self._cut(w) for w in distinct - words.keys()}
+            parts = set().union(*cut.values())
+            ids = self._parts.known(parts)
+            new = self._new_parts(parts - ids.keys())
+            self._parts.keep(new)
+            ids |= new
+            joined = {w: ids[c[0]] if len(c) == 1 else b"".join([ids[p] for p in c]) for w, c in cut.items()}
+            self._words.keep(joined)
+            words |= joined
+            return [b"".join(map(words.__getitem__, s)) for s in split]
+
+    def _new_parts(self, parts: set[str]) -> dict[str, bytes]:
+        letters, others, long = [], [], []
+        for p in parts:
+            (long if len(p) > LONGEST else letters if self._plain(p) else others).append(p)
+        out = {p: self._encoded([p])[0] for p in long}
+        out.update(zip(letters, self._encoded_runs(letters), strict=True))
+        out.update(zip(others, self._encoded(others), strict=True))
+        return out
 
     @staticmethod
     def _plain(part: str) -> bool:
         """Letters of which each has a lower case of its own, composed and in one piece."""
-        return part.isalpha() and max(part) <= "\xff"
+        return part.isalpha() and (part.isascii() or max(part) <= "\xff")
 
     def _cut(self, word: str) -> list[str]:
         letters = word.rstrip(_MARKS)
@@ -112,7 +125,7 @@ def tokenised_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(path)
-        for part, texts in slices(batches, "text"):
+        for part, texts in slices(batches, "text", _SLICE):
             row, piece, held = [], [], []
             for i, ids in enumerate(own.encode([(t or b"").decode() for t in texts])):
                 ids += last

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Hashable
+import gc
+from collections.abc import Callable, Hashable, Iterator
+from contextlib import contextmanager
 from itertools import batched
 
 MOST_BYTES = 24 << 20  # of keys and values in each of two generations
@@ -10,6 +12,18 @@ EACH = 180  # bytes that a pair takes besides its characters
 LONGEST = 256  # characters of a key; longer ones are computed anew
 
 
+@contextmanager
+def no_collection() -> Iterator[None]:
+    """For code that makes many lists but no cycles, so that Python need not look for any."""
+    looks = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if looks:
+            gc.enable()
+
+
 class Remembered(dict):
     """Values by key, computed when missing; keys not used for long go when there are too many.
 
