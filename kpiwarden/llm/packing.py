@@ -26,6 +26,9 @@ from kpiwarden.sources.scratch import stored
 LENGTH = 2048
 SHARD = 50_000  # pieces a shard has on average
 _MARKS = ".,!?;:*#$%&|"
+_MARK, _LETTER, _UPPER = (np.zeros(256, bool) for _ in range(3))
+_MARK[list(_MARKS.encode())] = True
+_UPPER[ord("A") : ord("Z") + 1] = _LETTER[ord("A") : ord("Z") + 1] = _LETTER[ord("a") : ord("z") + 1] = True
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _TOKENIZERS: dict = {}
@@ -36,8 +39,9 @@ class WordTokenizer:
 
     Only for tokenizers that fold case, never join anything across a space, a line feed or
     the edge of a run of letters, and mark the end of such a run in its last token. Words
-    are then encoded once and remembered, letters apart from the marks that follow them,
-    which is exact and far quicker. What is not plainly so is encoded as it stands.
+    are then encoded once and remembered, letters in lower case and apart from the marks
+    that follow them, which is exact and far quicker. What is not plainly so is encoded as
+    it stands.
     """
 
     def __init__(self, path: str):
@@ -47,25 +51,31 @@ class WordTokenizer:
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self._words, self._parts = Remembered(), Remembered()
+        self._parts = Remembered()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text. Each distinct part of their words is looked up once; the rest is done on arrays."""
+        data, edge, first = _parts_of_words(texts)
+        parts = pa.LargeStringArray.from_buffers(len(edge) - 1, pa.py_buffer(edge), pa.py_buffer(data)).dictionary_encode()
+        code = parts.indices.to_numpy()
         with no_collection():
-            split = [t.replace("\n", " ").split(" ") for t in texts]
-            distinct = set().union(*split)
-            words = self._words.known(distinct)
-            cut = {w: self._cut(w) for w in distinct - words.keys()}
-            parts = set().union(*cut.values())
-            ids = self._parts.known(parts)
-            new = self._new_parts(parts - ids.keys())
-            self._parts.keep(new)
-            ids |= new
-            joined = {w: ids[c[0]] if len(c) == 1 else b"".join([ids[p] for p in c]) for w, c in cut.items()}
-            self._words.keep(joined)
-            words |= joined
-            return [b"".join(map(words.__getitem__, s)) for s in split]
-
-    def _new_parts(self, parts: set[str]) -> dict[str, bytes]:
+            ids = self._ids(parts.dictionary.to_pylist())
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        known = np.frombuffer(b"".join(ids), "<u4")
+        begin, length = (np.cumsum(size) - size)[code], size[code]
+        edge = np.concatenate(([0], np.cumsum(length)))
+        out = known[np.repeat(begin - edge[:-1], length) + np.arange(edge[-1])].tobytes()
+        at = (4 * edge[first]).tolist()
+        return [out[x:y] for x, y in zip(at, at[1:])]
+
+    def _ids(self, distinct: list[str]) -> list[bytes]:
+        ids = self._parts.known(distinct)
+        new = self._new_parts([p for p in distinct if p not in ids])
+        self._parts.keep(new)
+        ids |= new
+        return list(map(ids.__getitem__, distinct))
+
+    def _new_parts(self, parts: list[str]) -> dict[str, bytes]:
         letters, others, long = [], [], []
         for p in parts:
             (long if len(p) > LONGEST else letters if self._plain(p) else others).append(p)
@@ -79,13 +89,6 @@ class WordTokenizer:
         """Letters of which each has a lower case of its own, composed and in one piece."""
         return part.isalpha() and (part.isascii() or max(part) <= "\xff")
 
-    def _cut(self, word: str) -> list[str]:
-        letters = word.rstrip(_MARKS)
-        if not self._plain(letters):
-            return [word]
-        lower, marks = letters.lower(), word[len(letters) :]
-        return [lower, marks] if marks else [lower]
-
     def _encoded(self, parts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [np.asarray(e.ids, "<u4").tobytes() for e in found]
@@ -101,6 +104,42 @@ class WordTokenizer:
         return out
 
 
+def _parts_of_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The parts of all words end to end, where each begins (and the last ends), and each text's first part.
+
+    Words stand between spaces and line feeds. One of letters (of ASCII, or U+00C0 to
+    U+00FF) that marks may follow is put in lower case and cut before its marks; any other
+    word is one part, as it stands. The number of parts follows after the last text.
+    """
+    data = np.frombuffer(b" ".join([*texts, b""]), np.uint8).copy()
+    data[data == 10] = 32
+    kind = np.int32 if len(data) < 1 << 31 else np.int64
+    space = data == 32
+    end = np.flatnonzero(space)
+    begin = np.concatenate(([0], end + 1))[: len(end)]
+    begin, end = begin[end > begin], end[end > begin]
+    letter, upper = _LETTER[data], _UPPER[data]
+    second = np.flatnonzero(data == 0xC3) + 1
+    second = second[(data[second] != 0x97) & (data[second] != 0xB7)]  # no letters: times, divided by
+    letter[second - 1] = letter[second] = True
+    upper[second[data[second] <= 0x9E]] = True
+    after = np.where(_MARK[data], kind(0), np.arange(1, len(data) + 1, dtype=kind))
+    marks = np.maximum.accumulate(after, out=after)[end - 1]  # behind the last byte that is no mark
+    letters = np.zeros(len(data) + 1, kind)
+    np.cumsum(letter, out=letters[1:])
+    plain = (marks > begin) & (letters[marks] - letters[begin] == marks - begin)
+    within = np.zeros(len(data) + 1, np.int8)
+    within[begin[plain]] = 1
+    within[marks[plain]] = -1
+    data[upper & np.cumsum(within[:-1], dtype=np.int8).view(bool)] += 32
+    cut = np.sort(np.concatenate((begin, marks[plain & (marks < end)])))
+    kept = letters  # its memory is used again
+    np.cumsum(~space, out=kept[1:])
+    stop = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    first = np.concatenate(([0], np.searchsorted(cut, stop)))
+    return data[~space], np.append(kept[cut], kept[-1]).astype(np.int64), first
+
+
 def tokenizer(path: str) -> WordTokenizer:
     """One per file and Python worker."""
     if path not in _TOKENIZERS:
@@ -126,7 +165,7 @@ def tokenised_pieces(
         own = tokenizer(path)
         for part, texts in slices(batches, "text"):
             row, piece, held = [], [], []
-            for i, ids in enumerate(own.encode([(t or b"").decode() for t in texts])):
+            for i, ids in enumerate(own.encode([t or b"" for t in texts])):
                 ids += last
                 for k, at in enumerate(range(0, len(ids), 4 * length)):
                     row.append(i)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Callable, Hashable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
 from contextlib import contextmanager
 from itertools import batched
 
@@ -57,7 +57,7 @@ class Remembered(dict):
     def __contains__(self, key) -> bool:
         return super().__contains__(key) or key in self._older
 
-    def known(self, keys: set) -> dict:
+    def known(self, keys: Iterable) -> dict:
         """Those of the keys that are held, with their values; they count as used."""
         out, again = {}, {}
         younger, older = self.get, self._older.get

@@ -51,6 +51,21 @@ def test_packing(spark, docs):
     assert packing.packed_documents(docs.limit(0), WORDS).collect() == []
 
 
+def test_parts_of_words_are_encoded_once():
+    own, made = packing.WordTokenizer(WORDS), []
+    encode = own._new_parts
+    own._new_parts = lambda parts: made.extend(parts) or encode(parts)
+    texts = ["Word WORD, word?! wÖrd\nWÖRD. word", "", "a-B. (C) Word", ",; WORD", "3×4÷2 Straße ÿ ŸÀ µm, ªº. K x²"]
+    texts += ["".join(random.Random(i).choices("aZé É×÷ß.,!\n -µ日Ω7", k=200)) for i in range(40)]
+    plainly = Tokenizer.from_file(WORDS)
+    want = [plainly.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode([t.encode() for t in texts])] == want
+    assert [len(x) for x in own.encode([b"WORD; word."])] == [16]
+    assert len(made) == len(set(made)) and {"word", "wörd", "?!", "a-B.", "(C)"} <= set(made)
+    assert not {"Word", "WORD", "WORD,", "wÖrd", "WÖRD."} & set(made)
+    assert own.encode([]) == [] and own.encode([b"", b" \n"]) == [b"", b""]
+
+
 def test_sequences_hold_the_ids(spark, docs):
     pieces = packing.tokenised_pieces(docs, WORDS, 256, with_ids=True)
     made = packing.sequences(packing.pack(pieces, 256)).collect()
