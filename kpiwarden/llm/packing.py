@@ -19,12 +19,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpiwarden.llm.remembered import LONGEST, Remembered, no_collection
+from kpiwarden.llm.remembered import LONGEST, RememberedNumbers
 from kpiwarden.llm.words import columns, prepare, slices
 from kpiwarden.sources.scratch import stored
 
 LENGTH = 2048
 SHARD = 50_000  # pieces a shard has on average
+SLICE = 2 << 20  # bytes of texts that are encoded at once
+HELD = 16 << 20  # bytes of parts of words and their ids that are kept
 _MARKS = ".,!?;:*#$%&|"
 _MARK, _LETTER, _UPPER = (np.zeros(256, bool) for _ in range(3))
 _MARK[list(_MARKS.encode())] = True
@@ -51,30 +53,17 @@ class WordTokenizer:
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self._parts = Remembered()
+        self._parts = RememberedNumbers(HELD)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text. Each distinct part of their words is looked up once; the rest is done on arrays."""
+        """Ids of each text. All of it is done on arrays, but for parts of words that are not remembered."""
         data, edge, first = _parts_of_words(texts)
-        parts = pa.LargeStringArray.from_buffers(len(edge) - 1, pa.py_buffer(edge), pa.py_buffer(data)).dictionary_encode()
-        code = parts.indices.to_numpy()
-        with no_collection():
-            ids = self._ids(parts.dictionary.to_pylist())
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        known = np.frombuffer(b"".join(ids), "<u4")
-        begin, length = (np.cumsum(size) - size)[code], size[code]
-        edge = np.concatenate(([0], np.cumsum(length)))
-        out = known[np.repeat(begin - edge[:-1], length) + np.arange(edge[-1])].tobytes()
+        parts = pa.LargeStringArray.from_buffers(len(edge) - 1, pa.py_buffer(edge), pa.py_buffer(data))
+        ids, edge = self._parts.of(parts, self._new_parts)
+        out = ids.tobytes()
         at = (4 * edge[first]).tolist()
         return [out[x:y] for x, y in zip(at, at[1:])]
 
-    def _ids(self, distinct: list[str]) -> list[bytes]:
-        ids = self._parts.known(distinct)
-        new = self._new_parts([p for p in distinct if p not in ids])
-        self._parts.keep(new)
-        ids |= new
-        return list(map(ids.__getitem__, distinct))
-
     def _new_parts(self, parts: list[str]) -> dict[str, bytes]:
         letters, others, long = [], [], []
         for p in parts:
@@ -163,7 +152,7 @@ def tokenised_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(path)
-        for part, texts in slices(batches, "text"):
+        for part, texts in slices(batches, "text", SLICE):
             row, piece, held = [], [], []
             for i, ids in enumerate(own.encode([t or b"" for t in texts])):
                 ids += last

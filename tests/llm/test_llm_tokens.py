@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import plain
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -66,6 +67,39 @@ def test_parts_of_words_are_encoded_once():
     assert own.encode([]) == [] and own.encode([b"", b" \n"]) == [b"", b""]
 
 
+def test_parts_remembered_in_arrays_are_not_made_again_and_bounded():
+    made, held = [], remembered.RememberedNumbers(most=4000)
+
+    def numbers(keys):
+        made.extend(keys)
+        return {k: np.arange(len(k), dtype="<u4").tobytes() for k in keys}
+
+    def asked(*keys):
+        out, edge = held.of(pa.array(keys, pa.large_string()), numbers)
+        return [out[x:y].tolist() for x, y in zip(edge, edge[1:])]
+
+    want = lambda *keys: [list(range(len(k))) for k in keys]
+    assert asked() == [] and asked("ab", "", "é日", "ab") == want("ab", "", "é日", "ab")
+    assert made == ["ab", "", "é日"]
+    assert asked("c", "ab", "é日") == want("c", "ab", "é日") and made == ["ab", "", "é日", "c"]
+    long = "w" * 100_000
+    assert asked(long, "ab") == want(long, "ab") and len(held) < 5
+    for i in range(200):
+        keys = [f"{i}", "ab", f"w{i % 90}", f"{i}"]
+        assert asked(*keys) == want(*keys)
+        assert held._bytes == int(remembered._bytes_held(held._keys, held._size).sum()) <= 4000
+    assert made.count("ab") == 1 and made.count("w0") > 1 and 20 < len(held) < 4000 // remembered.EACH_IN_ARRAYS
+
+
+def test_parts_that_are_forgotten_are_encoded_alike(monkeypatch):
+    texts = [(t or "").encode() for t in ODD + random_texts()]
+    want = packing.WordTokenizer(WORDS).encode(texts)
+    monkeypatch.setattr(packing, "HELD", 500)
+    own = packing.WordTokenizer(WORDS)
+    for _ in range(2):
+        assert [own.encode([t])[0] for t in texts] == want
+
+
 def test_sequences_hold_the_ids(spark, docs):
     pieces = packing.tokenised_pieces(docs, WORDS, 256, with_ids=True)
     made = packing.sequences(packing.pack(pieces, 256)).collect()
