@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiwarden.sources.scratch import scratch_path
+from kpiwarden.sources.scratch import exists, scratch_path
 
 CATEGORY = "ran"
 CUT_OFF = "2001-05-31"
@@ -83,29 +83,40 @@ def _per_metric(df: DataFrame) -> DataFrame:
     )
 
 
-_stored: dict[tuple[str, str, str], DataFrame] = {}
+_stored: dict[tuple[str, str, str], tuple[str, DataFrame]] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
-    """What ``make`` derives, stored by the first call of this application and read from there."""
+def _kept(spark: SparkSession, sf_dir: str, name: str, write) -> DataFrame:
+    """What ``write`` puts at a path, by the first call of this application and by later ones that find it gone."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _stored:
+    if key not in _stored or not exists(spark, _stored[key][0]):
         path = scratch_path(spark, name)
-        make(spark, sf_dir).write.parquet(path)
-        _stored[key] = spark.read.parquet(path)
-    return _stored[key]
+        _stored[key] = path, write(path)
+    return _stored[key][1]
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
+    """What ``make`` derives, stored and read from there."""
+
+    def write(path: str) -> DataFrame:
+        rows = make(spark, sf_dir)
+        rows.write.parquet(path)
+        return spark.read.schema(rows.schema).parquet(path)
+
+    return _kept(spark, sf_dir, name, write)
 
 
 def _raw(spark: SparkSession, sf_dir: str, by_date: bool = False) -> DataFrame:
     """The derived rows in few files, sorted by date; or with a folder per date, as the library's own tables."""
     if not by_date:
         return _once(spark, sf_dir, "derived", _derive)
-    key = (spark.sparkContext.applicationId, sf_dir, "by-date")
-    if key not in _stored:
-        path, rows = scratch_path(spark, "by-date"), _raw(spark, sf_dir)
+
+    def write(path: str) -> DataFrame:
+        rows = _raw(spark, sf_dir)
         rows.repartition("date").write.partitionBy("date").parquet(path)
-        _stored[key] = spark.read.schema(rows.schema).parquet(path)
-    return _stored[key]
+        return spark.read.schema(rows.schema).parquet(path)
+
+    return _kept(spark, sf_dir, "by-date", write)
 
 
 def _derive(spark: SparkSession, sf_dir: str) -> DataFrame:
