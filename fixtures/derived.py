@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiwarden.sources.scratch import exists, scratch_path
+from kpiwarden.sources.scratch import exists, scratch_path, shuffles_removed
 
 CATEGORY = "ran"
 CUT_OFF = "2001-05-31"
@@ -91,7 +91,8 @@ def _kept(spark: SparkSession, sf_dir: str, name: str, write) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored or not exists(spark, _stored[key][0]):
         path = scratch_path(spark, name)
-        _stored[key] = path, write(path)
+        with shuffles_removed(spark):
+            _stored[key] = path, write(path)
     return _stored[key][1]
 
 

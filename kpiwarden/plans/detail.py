@@ -16,6 +16,7 @@ from kpiwarden.functions.rules import (
 from kpiwarden.functions.sums import as_double, total_of
 from kpiwarden.operators.bands import bounds
 from kpiwarden.operators.recent import SERIES, with_series_hash
+from kpiwarden.operators.slices import in_slices
 from kpiwarden.sources.schema import BOUNDS, KEYS
 
 _BY = ["date", *KEYS]
@@ -82,7 +83,16 @@ def request_bands(
     one, whose rows are about to be replaced; ``present`` tells whether the source
     has a row. The requested day sees the totals of its previous ``depth`` days
     with accepted rows, found by the position of each day within its series.
+    Large results are looked at in slices of series.
     """
+    return in_slices(
+        results, KEYS, lambda of: _request_bands(of(source), of(results), of(requests), rule), "request-bands"
+    )
+
+
+def _request_bands(
+    source: DataFrame, results: DataFrame, requests: DataFrame, rule: Rule
+) -> DataFrame:
     by_date = Window.partitionBy(*SERIES).orderBy("date")
     earlier = by_date.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*SERIES)

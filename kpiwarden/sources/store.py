@@ -31,7 +31,7 @@ from kpiwarden.operators.selection import of_kpis
 from kpiwarden.plans.maintain import without_kpis
 from kpiwarden.plans.score import alerts
 from kpiwarden.sources.schema import KEYS, conform
-from kpiwarden.sources.scratch import scratch_path
+from kpiwarden.sources.scratch import scratch_path, shuffles_removed
 
 if TYPE_CHECKING:
     from kpiwarden.sources.kept import RecentDays
@@ -165,7 +165,8 @@ class DatedTable:
         staged = DatedTable(self.spark, scratch_path(self.spark, "staged"), self.schema)
         rows = staged._filled(fresh)
         try:
-            rows.write.partitionBy("date").parquet(staged.path)
+            with shuffles_removed(self.spark):
+                rows.write.partitionBy("date").parquet(staged.path)
             yield staged
         finally:
             self._delete(staged.path)
@@ -258,7 +259,8 @@ class DatedTable:
 
     def _write(self, rows: DataFrame, path: str) -> None:
         """Add rows by date. Rebalancing gives few files per date and splits large dates."""
-        rows.hint("rebalance", "date").write.mode("append").partitionBy("date").parquet(path)
+        with shuffles_removed(self.spark):
+            rows.hint("rebalance", "date").write.mode("append").partitionBy("date").parquet(path)
 
     def _folder(self, day: Date) -> str:
         return f"{self.path}/date={day.isoformat()}"
