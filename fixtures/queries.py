@@ -35,6 +35,7 @@ from kpiwarden.operators.selection import (
     outside_bad_sites,
     with_complete_keys,
 )
+from kpiwarden.operators.slices import in_slices
 from kpiwarden.plans import maintain
 from kpiwarden.plans.detail import (
     detail,
@@ -143,11 +144,15 @@ def _plain_kpis(t: Tables) -> DataFrame:
 def _band(t: Tables, rule: Rule, by: tuple[str, ...] = KEYS) -> DataFrame:
     results = t.results if rule.value == "value" else t.completeness_results
     history = accepted_before(results, DAY)
-    if rule is SIGMA or rule is COMPLETENESS_DETAIL:
-        history = history.distinct()
     if "day_name" in by:
         history = with_day_name(history)
-    return rounded(series_bands(recent_totals(history, rule.value, rule.depth, by), rule))
+
+    def bands(rows: DataFrame) -> DataFrame:
+        return series_bands(recent_totals(rows, rule.value, rule.depth, by), rule)
+
+    if rule is SIGMA or rule is COMPLETENESS_DETAIL:
+        return rounded(in_slices(history, by, lambda of: bands(of(history).distinct()), "bands"))
+    return rounded(bands(history))
 
 
 def _recent(t: Tables, by: tuple[str, ...]) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import derived
+from fixtures import queries as fixture_queries
 from kpiwarden.operators import slices as sliced
 from kpiwarden.plans import detail as detail_plan
 from kpiwarden.sources import schema
@@ -105,6 +106,16 @@ def test_detail_in_slices(make, spark, tmp_path, many, written, count):
     assert len(written) == sliced.MOST_SLICES and sum(map(bool, written)) > 1
 
 
+@pytest.mark.parametrize("name", ["baseline_sigma", "baseline_rowcount_detail"])
+def test_bands_of_distinct_rows_in_slices(spark, many, written, name):
+    query = fixture_queries.queries()[name]
+    whole = bag(query(spark, SF_DIR))
+    assert whole and not written
+    many()
+    assert bag(query(spark, SF_DIR)) == whole
+    assert len(written) == sliced.MOST_SLICES and sum(map(bool, written)) > 1
+
+
 def shuffle_files(spark):
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     names = (files.apply(i).getName() for i in range(files.size()))
