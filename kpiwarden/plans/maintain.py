@@ -41,10 +41,17 @@ def replace_date(table: DataFrame, fresh: DataFrame, day: str) -> DataFrame:
 def replace_series(table: DataFrame, fresh: DataFrame, requests: DataFrame) -> DataFrame:
     """Replace the rows of the requested dates and series.
 
-    A request lacking a key value removes nothing.
+    A request lacking a key value removes nothing. The requested dates are looked up first:
+    rows of other dates stay as they are and are not shuffled.
     """
     asked = requests.select(*_BY).distinct()
-    return _added(table.join(asked, _BY, "left_anti").select(*table.columns), fresh)
+    dates = [r["date"] for r in asked.select("date").distinct().where("date is not null").collect()]
+    if not dates:
+        return _added(table, fresh)
+    concerned = F.col("date").isin(dates)
+    other_dates = table.where(~concerned | F.col("date").isNull())
+    kept = table.where(concerned).join(asked, _BY, "left_anti").select(*table.columns)
+    return _added(other_dates.unionByName(kept), fresh)
 
 
 def retain(history: DataFrame, as_of: str, keep_days: int = KEEP_DAYS) -> DataFrame:

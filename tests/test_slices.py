@@ -11,6 +11,7 @@ from fixtures import derived
 from fixtures import queries as fixture_queries
 from kpiwarden.operators import slices as sliced
 from kpiwarden.plans import detail as detail_plan
+from kpiwarden.plans.maintain import replace_series
 from kpiwarden.sources import schema
 from kpiwarden.sources.store import DatedTable
 
@@ -116,6 +117,22 @@ def test_bands_of_distinct_rows_in_slices(spark, many, written, name):
     assert len(written) == sliced.MOST_SLICES and sum(map(bool, written)) > 1
 
 
+def test_rows_of_dates_not_asked_for_are_not_shuffled(make, spark, results):
+    keys = some_keys(make)
+    asked = make.requests([(day(4), keys[0]), (day(4), keys[1]), (day(9), keys[0])])
+    fresh = make.results([(day(4), keys[0], 1.0, "ok")])
+    table = results.read().unionByName(make.results([(day(4), keys[2], 7.0, "ok")]).withColumn("date", F.lit(None).cast("date")))
+    replaced = replace_series(table, fresh, asked)
+    gone = {(day(4), keys[0]), (day(9), keys[0])}  # the other lacks a key value
+    stay = [tuple(r) for r in table.collect() if (str(r["date"]), tuple(r[1:7])) not in gone]
+    assert bag(replaced) == sorted([*stay, *(tuple(r) for r in fresh.collect())], key=repr)
+    optimized = replaced._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    anti = next(i for i, x in enumerate(optimized) if "LeftAnti" in x)
+    assert any("Filter" in x and "date" in x and "IN (" in x for x in optimized[anti : anti + 3])
+    nothing = replace_series(table, fresh, asked.limit(0))
+    assert bag(nothing) == sorted([*map(tuple, table.collect()), *map(tuple, fresh.collect())], key=repr)
+
+
 def shuffle_files(spark):
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     names = (files.apply(i).getName() for i in range(files.size()))
