@@ -117,6 +117,18 @@ def test_bands_of_distinct_rows_in_slices(spark, many, written, name):
     assert len(written) == sliced.MOST_SLICES and sum(map(bool, written)) > 1
 
 
+def test_tables_are_stored_in_slices_of_dates(spark, results, many, monkeypatch):
+    t = fixture_queries.Tables(spark, SF_DIR)
+    whole = fixture_queries._stored_table(t, results.read())
+    many()
+    runs = []
+    append = DatedTable.append
+    monkeypatch.setattr(DatedTable, "append", lambda self, rows: (runs.append(1), append(self, rows)))
+    parts = fixture_queries._stored_table(t, results.read())
+    assert len(runs) == sliced.MOST_SLICES and parts.dates() == whole.dates()
+    assert bag(parts.read()) == bag(whole.read()) == bag(results.read())
+
+
 def test_rows_of_dates_not_asked_for_are_not_shuffled(make, spark, results):
     keys = some_keys(make)
     asked = make.requests([(day(4), keys[0]), (day(4), keys[1]), (day(9), keys[0])])
