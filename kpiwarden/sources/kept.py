@@ -18,6 +18,7 @@ from kpiwarden.functions.rules import OK, SCORE_DEPTH
 from kpiwarden.functions.sums import FIELDS, PARTS
 from kpiwarden.operators.recent import daily_totals, recent_days
 from kpiwarden.operators.selection import misnamed
+from kpiwarden.operators.slices import slices
 from kpiwarden.sources.schema import KEYS
 from kpiwarden.sources.store import CHANGE, FOLLOWED, NEW, DatedTable
 
@@ -94,7 +95,8 @@ class RecentDays:
             new_base = Date.fromisoformat(max(left)) - timedelta(days=self.spare)
             new_base = new_base if base is None else max(base, new_base)
             totals = self._after(results, part, changed, left, base)
-            self._write(self._still_asked_for(totals, new_base), new_base)
+            for of in slices(totals, ["series"]):
+                self._write(self._still_asked_for(of(totals), new_base), new_base)
             filled = [d.isoformat() for d in self.table._dates_in(self.table._file(NEW))]
         gone = [] if base is None or base.isoformat() in filled else [base.isoformat()]
         return {"path": self.table.path, "filled": filled, "gone": gone}

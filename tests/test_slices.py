@@ -13,6 +13,7 @@ from kpiwarden.operators import slices as sliced
 from kpiwarden.plans import detail as detail_plan
 from kpiwarden.plans.maintain import replace_series
 from kpiwarden.sources import schema
+from kpiwarden.sources.kept import RecentDays
 from kpiwarden.sources.store import DatedTable
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -117,6 +118,20 @@ def test_bands_of_distinct_rows_in_slices(spark, many, written, name):
     assert len(written) == sliced.MOST_SLICES and sum(map(bool, written)) > 1
 
 
+def test_recent_days_start_in_slices(spark, results, tmp_path, many, monkeypatch):
+    started = RecentDays(spark, str(tmp_path / "recent"))
+    started.start(results)
+    whole = bag(started.table.read())
+    many()
+    runs = []
+    write = RecentDays._write
+    monkeypatch.setattr(RecentDays, "_write", lambda self, *a: (runs.append(1), write(self, *a)))
+    again = RecentDays(spark, str(tmp_path / "again"))
+    again.start(results)
+    assert whole and bag(again.table.read()) == whole
+    assert len(runs) == sliced.MOST_SLICES
+
+
 def test_tables_are_stored_in_slices_of_dates(spark, results, many, monkeypatch):
     t = fixture_queries.Tables(spark, SF_DIR)
     whole = fixture_queries._stored_table(t, results.read())
